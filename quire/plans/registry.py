@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import indicator_queries
+from quire.plans import etl_queries, indicator_queries
 from quire.session import apply_required_conf
 
-_MODULES = [indicator_queries]
+_MODULES = [indicator_queries, etl_queries]
 
 
 def _pinned(fn):
