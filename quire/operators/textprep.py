@@ -16,6 +16,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quire.functions.scalars import clean_text
 
@@ -107,7 +108,7 @@ def extract_main_text(html: str | None, selectors=CONTENT_SELECTORS,
     return texts[-1] or ""
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def main_text_udf(html: pd.Series) -> pd.Series:
     return html.map(extract_main_text)
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import etl_queries, indicator_queries
+from quire.plans import etl_queries, indicator_queries, text_queries
 from quire.session import apply_required_conf
 
-_MODULES = [indicator_queries, etl_queries]
+_MODULES = [indicator_queries, etl_queries, text_queries]
 
 
 def _pinned(fn):
@@ -34,5 +34,7 @@ def all_oracles() -> dict:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed + article staging -> single-pass validation -> clean rows ->
+    deduped upsert into the dimension -> per-platform summary."""
     apply_required_conf(spark)
-    return indicator_queries.q_occupancy(spark, sf_dir)
+    return etl_queries.q_dim_by_platform(spark, sf_dir)
