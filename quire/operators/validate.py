@@ -114,8 +114,9 @@ def failed_rows(annotated: DataFrame) -> DataFrame:
     return annotated.filter(F.size(VIOLATIONS) > 0)
 
 
-def error_summary(v: Column = F.col(VIOLATIONS)) -> Column:
+def error_summary(v: Column | None = None) -> Column:
     """V7: 'Failed columns: a, b' -- distinct columns in rule order."""
+    v = F.col(VIOLATIONS) if v is None else v
     cols = F.array_distinct(F.transform(v, lambda x: x["column"]))
     return F.when(F.size(cols) > 0, F.concat(F.lit(FAILED_PREFIX), F.array_join(cols, ", "))) \
         .otherwise(F.lit(FAILED_PREFIX + "unknown"))
