@@ -89,10 +89,13 @@ def annotate(df: DataFrame, rules: RuleSet | str) -> DataFrame:
 
 
 def failure_cases(annotated: DataFrame, pk: str = "id") -> DataFrame:
-    """V4: one row per failed check: pk_value, column, check, failure_case."""
-    return (annotated.filter(F.size(VIOLATIONS) > 0)
-                     .select(F.col(pk).cast("string").alias("pk_value"),
-                             F.explode(VIOLATIONS).alias("v"))
+    """V4: one row per failed check: pk_value, column, check, failure_case.
+    ``explode_outer`` + a filter above it: the filter Catalyst infers for a
+    plain ``explode`` is pushed below the rule projection and would evaluate
+    every rule twice."""
+    return (annotated.select(F.col(pk).cast("string").alias("pk_value"),
+                             F.explode_outer(VIOLATIONS).alias("v"))
+                     .filter(F.col("v").isNotNull())
                      .select("pk_value", "v.column", "v.check", "v.failure_case"))
 
 

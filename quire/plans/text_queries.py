@@ -32,9 +32,15 @@ def q_min_length_gate(spark, sf):
 
 
 def q_prompt_messages(spark, sf):
-    d = tp.length_gate(_cleaned_docs(spark, sf)).filter("accepted")
-    m = d.select("doc_id", tp.prompt_messages(d, "content", SYSTEM_PROMPT, USER_TEMPLATE).alias("m"))
-    return m.select("doc_id", F.posexplode("m").alias("turn", "msg")) \
+    # Rejected rows get no message list and are dropped *after* the explode:
+    # a filter below it (an explicit one on ``accepted``, or the one Catalyst
+    # infers for a non-outer generator) would be pushed under the cleanup
+    # projection and evaluate the whitespace regex again for every reference.
+    d = tp.length_gate(_cleaned_docs(spark, sf))
+    msgs = tp.prompt_messages(d, "content", SYSTEM_PROMPT, USER_TEMPLATE)
+    m = d.select("doc_id", F.when(F.col("accepted"), msgs).alias("m"))
+    return m.select("doc_id", F.posexplode_outer("m").alias("turn", "msg")) \
+            .filter(F.col("turn").isNotNull()) \
             .select("doc_id", "turn", F.col("msg.role").alias("role"),
                     F.col("msg.content").alias("content"))
 
