@@ -141,6 +141,10 @@ def q_dq_report(spark, sf):
     return val.dq_report(q_dq_failures(spark, sf))
 
 
+def q_dq_completeness(spark, sf):
+    return val.completeness(art_staging(spark, sf), stg.GFG_STAGING_COLUMNS)
+
+
 def q_dim_gfg(spark, sf):
     return dim_gfg_rows(spark, sf).select(*dim.DIM_COLUMNS)
 
@@ -220,6 +224,7 @@ QUERIES = {
     "dq_quarantine": q_dq_quarantine,
     "dq_clean": q_dq_clean,
     "dq_report": q_dq_report,
+    "dq_completeness": q_dq_completeness,
     "dim_gfg": q_dim_gfg,
     "dim_feed": q_dim_feed,
     "dim_union": q_dim_union,
@@ -381,6 +386,14 @@ SELECT (SELECT count(*) FROM f) AS n_failures,
     "dq_report": f"""{_FAILURES}
 SELECT source_table, "column", "check", count(*) AS n_failures FROM failures
 GROUP BY source_table, "column", "check\"""",
+    "dq_completeness": f"""{_W}
+SELECT avg(CAST(article_id IS NOT NULL AS DOUBLE)) AS article_id,
+       avg(CAST(title IS NOT NULL AS DOUBLE)) AS title,
+       avg(CAST(author_id IS NOT NULL AS DOUBLE)) AS author_id,
+       avg(CAST(last_updated IS NOT NULL AS DOUBLE)) AS last_updated,
+       avg(CAST(link IS NOT NULL AS DOUBLE)) AS link,
+       avg(CAST(category IS NOT NULL AS DOUBLE)) AS category
+FROM art_stg""",
     "dim_gfg": f"{_WD} SELECT {_DIMCOLS} FROM dim_g",
     "dim_feed": f"{_WD} SELECT {_DIMCOLS} FROM dim_f",
     "dim_union": f"{_WD} SELECT {_DIMCOLS} FROM dim_g UNION ALL SELECT {_DIMCOLS} FROM dim_f",
