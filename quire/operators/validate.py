@@ -76,16 +76,31 @@ def violation_exprs(rules: RuleSet, present: set[str]) -> list[Column]:
     return out
 
 
+_EXPR_CACHE: dict[tuple, tuple[RuleSet, Column]] = {}
+
+
+def violations_column(rules: RuleSet, present: set[str]) -> Column:
+    """The ``_violations`` expression for a rule set over the present
+    columns.  Built once per session and rule set: building it is a few
+    hundred Python-to-JVM calls, running it is one projection."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    key = (sc.applicationId if sc else None, id(rules), tuple(sorted(present)))
+    if key not in _EXPR_CACHE:
+        exprs = violation_exprs(rules, present)
+        if not exprs:
+            arr = F.array().cast("array<struct<column:string,check:string,failure_case:string>>")
+        else:
+            arr = F.array_compact(F.array(*exprs))
+        _EXPR_CACHE[key] = (rules, arr)   # keeps ``rules`` alive so id() stays unique
+    return _EXPR_CACHE[key][1]
+
+
 def annotate(df: DataFrame, rules: RuleSet | str) -> DataFrame:
     """V1: check table-level rules (raise), then add ``_violations``."""
     rules = rules_for(rules) if isinstance(rules, str) else rules
     check_table_level(df, rules)
-    exprs = violation_exprs(rules, set(df.columns))
-    if not exprs:
-        arr = F.array().cast("array<struct<column:string,check:string,failure_case:string>>")
-    else:
-        arr = F.array_compact(F.array(*exprs))
-    return df.withColumn(VIOLATIONS, arr)
+    return df.withColumn(VIOLATIONS, violations_column(rules, set(df.columns)))
 
 
 def failure_cases(annotated: DataFrame, pk: str = "id") -> DataFrame:

@@ -28,8 +28,17 @@ FEED_DAY0 = "2024-01-01"
 ARTICLE_DAY0 = "2023-01-01"
 
 
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; its footer schema is read once per session and then
+    passed explicitly, so later reads start no schema-inference job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
