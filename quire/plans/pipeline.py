@@ -3,11 +3,16 @@
 One call of ``run_source`` = one batch of one source:
 
 1. stage   raw rows -> staging rows (ids in input order) -> ``run_id`` partition
-2. select  staging rows not yet processed (ledger anti-join, I2)
+2. select  the rows to process: this run's staging partition plus the open
+           queue (rows quarantined earlier or reopened).  Work is O(batch +
+           queue), never a scan of all staging history; the ledger stays the
+           append-only audit of every state change (and ``ledger.unprocessed``
+           gives the same set from it, I2)
 3. check   single-pass validation, written once to the run's work folder in
            the shared workspace (cuts lineage; the three consumers below read
            it instead of recomputing the anti-join and the rules)
-4. park    quarantine records first (Q16), ``run_id`` partition
+4. park    quarantine records first (Q16), ``run_id`` partition; the failed
+           rows become the next open queue version
 5. load    in-batch dedupe -> guard -> upsert into a new dimension version
 6. mark    ledger rows for the loaded keys, only after the load succeeded
 7. commit  run report row; the dimension version becomes current
@@ -72,6 +77,22 @@ def next_run_seq(ws: Workspace) -> int:
     return _max_or(committed_runs(ws), "run_seq", 0) + 1
 
 
+def _queue_path(ws: Workspace, table: str, version: int) -> str:
+    return f"{ws.path('queue_' + table)}/version={version}"
+
+
+def open_queue(ws: Workspace, table: str) -> DataFrame:
+    """Staging rows still open for ``table``: quarantined by the last run or
+    reopened since (the latest committed queue version)."""
+    runs = committed_runs(ws).filter((F.col("source_table") == table)
+                                     & F.col("queue_version").isNotNull())
+    v = _max_or(runs, "queue_version", -1)
+    schema = schema_of(table)
+    if v < 0:
+        return ws.spark.createDataFrame([], schema)
+    return ws.spark.read.schema(schema).parquet(_queue_path(ws, table, v))
+
+
 def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: str,
                run_seq: int | None = None, now: dt.datetime | None = None) -> DataFrame:
     spark = ws.spark
@@ -93,9 +114,13 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     staged_obs = Observation(f"staged_{run_seq}")
     ws.write_run(staged.observe(staged_obs, F.count(F.lit(1)).alias("n")), table)
 
-    # 2-3. pending rows, validated once and written to the run's work folder
-    pending = led.unprocessed(ws.read(table), ws.read("ledger"), table, profile.pk)
-    annotated = val.annotate(pending.drop("ingested_at", "run_id"), profile.rules)
+    # 2-3. pending rows (this batch + open queue), validated once and written
+    # to the run's work folder
+    batch = ws.read(table).filter(F.col("run_id") == run_id)
+    # (no dedupe needed: new ids are above every queued id, and ``reopen``
+    # keeps the queue itself unique)
+    pending = batch.unionByName(open_queue(ws, table))
+    annotated = val.annotate(pending, profile.rules)
     work = f"{ws.root}/_work/run_id={run_id}/{table}"
     chk_obs = Observation(f"checked_{run_seq}")
     annotated.observe(chk_obs, F.count(F.lit(1)).alias("pending"),
@@ -108,6 +133,8 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     q = v.quarantine(STAGING_WIDTH[table]).withColumn("run_timestamp", now_c) \
                                           .withColumn("run_id", F.lit(run_id))
     ws.write_run(q, "dq_quarantine")
+    staging_cols = [f.name for f in schema_of(table).fields]
+    v.failed.select(*staging_cols).write.mode("overwrite").parquet(_queue_path(ws, table, run_seq))
 
     # 5. dimension: dedupe in batch, guard, upsert into a new version
     incoming = dim.latest_per_key(profile.to_dim(v.clean))
@@ -130,19 +157,28 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     s, c, d = staged_obs.get, chk_obs.get, dim_obs.get
     report = spark.createDataFrame(
         [(run_id, run_seq, table, now, s["n"], c["pending"], c["clean"],
-          c["pending"] - c["clean"], d["n"], run_seq)], schema_of("runs"))
+          c["pending"] - c["clean"], d["n"], run_seq, run_seq)], schema_of("runs"))
     ws.write_run(report, "runs")
     return report
 
 
 def reopen(ws: Workspace, keys: DataFrame, table: str, run_id: str, pk: str = "id",
            now: dt.datetime | None = None) -> None:
-    """Put staging keys back in the queue for the next run."""
+    """Put staging keys back in the queue for the next run (a semi-join
+    of staging with the keys -- remediation is rare, so this is the one
+    place that reads the whole staging table)."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     seq = next_run_seq(ws)
     rows = led.reopen(keys, table, pk, seq, F.lit(now).cast("timestamp")) \
         .withColumn("run_id", F.lit(run_id))
     ws.write_run(rows, "ledger")
+    staging_cols = [f.name for f in schema_of(table).fields]
+    reopened = ws.read(table).join(keys.select(pk).distinct(), pk, "left_semi")
+    queue = open_queue(ws, table).unionByName(reopened.select(*staging_cols)) \
+        .dropDuplicates([pk])
+    queue.write.mode("overwrite").parquet(_queue_path(ws, table, seq))
+    ws.write_run(ws.spark.createDataFrame(
+        [(run_id, seq, table, now, 0, None, None, None, None, None, seq)], schema_of("runs")), "runs")
 
 
 def latest_quarantine(ws: Workspace) -> DataFrame:
