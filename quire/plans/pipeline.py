@@ -136,17 +136,22 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     staging_cols = [f.name for f in schema_of(table).fields]
     v.failed.select(*staging_cols).write.mode("overwrite").parquet(_queue_path(ws, table, run_seq))
 
-    # 5. dimension: dedupe in batch, guard, upsert into a new version
-    incoming = dim.latest_per_key(profile.to_dim(v.clean))
-    bad = dim.guard(incoming)
-    if not bad.isEmpty():
-        raise val.SchemaError("dim_articles", [tuple(r) for r in bad.limit(20).collect()])
-    existing = current_dimension(ws)
-    id_base_dim = 0 if existing is None else _max_or(existing, "id", -1) + 1
-    merged = dim.upsert(existing, incoming, now_c, id_base_dim)
-    dim_obs = Observation(f"dim_{run_seq}")
-    merged.observe(dim_obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
-        .parquet(f"{ws.path('dim_articles')}/version={run_seq}")
+    # 5. dimension: dedupe in batch, guard, upsert into a new version (a batch
+    # without clean rows leaves the current version in place)
+    c = chk_obs.get
+    dim_version, dim_rows = None, 0
+    if c["clean"] > 0:
+        incoming = dim.latest_per_key(profile.to_dim(v.clean))
+        bad = dim.guard(incoming)
+        if not bad.isEmpty():
+            raise val.SchemaError("dim_articles", [tuple(r) for r in bad.limit(20).collect()])
+        existing = current_dimension(ws)
+        id_base_dim = 0 if existing is None else _max_or(existing, "id", -1) + 1
+        merged = dim.upsert(existing, incoming, now_c, id_base_dim)
+        dim_obs = Observation(f"dim_{run_seq}")
+        merged.observe(dim_obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
+            .parquet(f"{ws.path('dim_articles')}/version={run_seq}")
+        dim_version, dim_rows = run_seq, dim_obs.get["n"]
 
     # 6. ledger, after the load succeeded
     marks = led.mark_processed(v.clean.select(profile.pk), table, profile.pk, run_seq, now_c) \
@@ -154,10 +159,9 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     ws.write_run(marks, "ledger")
 
     # 7. commit
-    s, c, d = staged_obs.get, chk_obs.get, dim_obs.get
     report = spark.createDataFrame(
-        [(run_id, run_seq, table, now, s["n"], c["pending"], c["clean"],
-          c["pending"] - c["clean"], d["n"], run_seq, run_seq)], schema_of("runs"))
+        [(run_id, run_seq, table, now, staged_obs.get["n"], c["pending"], c["clean"],
+          c["pending"] - c["clean"], dim_rows, dim_version, run_seq)], schema_of("runs"))
     ws.write_run(report, "runs")
     return report
 
