@@ -41,6 +41,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element
+    ``transform``).  Used where an expensive value is needed both in a
+    condition and in a branch: subexpression elimination does not share
+    work between a CASE condition and its branches, so the plain form runs
+    the regex twice per row (measured: 20 s vs 11 s on 10x sf0.1)."""
+    return F.transform(F.array(value), body)[0]
+
+
 # --- F1 -------------------------------------------------------------------
 def url_slug(link) -> Column:
     """Second-to-last '/'-separated part of a URL (``link.split('/')[-2]``);
@@ -72,12 +81,16 @@ _ISO_SHAPE = (r"^(\d{4}-\d{2}-\d{2})"
 def parse_mixed_date(c) -> Column:
     """Feed dates in RFC 2822 or ISO 8601 form -> DATE, else NULL."""
     s = F.trim(_c(c))
-    rfc = F.regexp_replace(F.regexp_extract(s, _RFC_SHAPE, 1), r"\s+", " ")
-    iso = F.regexp_extract(s, _ISO_SHAPE, 1)
-    return F.coalesce(
-        F.when(rfc != "", F.to_date(F.try_to_timestamp(rfc, F.lit("d MMM yyyy")))),
-        F.when(iso != "", F.to_date(F.try_to_timestamp(iso, F.lit(ISO_DATE_FORMAT)))),
-    )
+    parts = F.struct(F.regexp_replace(F.regexp_extract(s, _RFC_SHAPE, 1), r"\s+", " ").alias("rfc"),
+                     F.regexp_extract(s, _ISO_SHAPE, 1).alias("iso"))
+
+    def parse(p: Column) -> Column:
+        rfc, iso = p["rfc"], p["iso"]
+        return F.coalesce(
+            F.when(rfc != "", F.to_date(F.try_to_timestamp(rfc, F.lit("d MMM yyyy")))),
+            F.when(iso != "", F.to_date(F.try_to_timestamp(iso, F.lit(ISO_DATE_FORMAT)))))
+
+    return let(parts, parse)
 
 
 def to_iso_date_text(c) -> Column:
@@ -98,12 +111,12 @@ def first_json_item(c, field: str) -> Column:
     """First element of a JSON array held as text: its ``field`` when the
     element is an object holding that field, the element itself when it is a
     string, otherwise NULL.  Non-arrays and broken JSON give NULL."""
-    v = F.try_parse_json(_c(c))
-    first = F.try_variant_get(v, "$[0]", "variant")
-    is_obj = F.schema_of_variant(first).startswith("OBJECT")
-    return (F.when(is_obj, F.try_variant_get(first, f"$.{field}", "string"))
-            .when(F.schema_of_variant(first) == "STRING",
-                  F.try_variant_get(first, "$", "string")))
+    def pick(first: Column) -> Column:
+        kind = F.schema_of_variant(first)
+        return (F.when(kind.startswith("OBJECT"), F.try_variant_get(first, f"$.{field}", "string"))
+                .when(kind == "STRING", F.try_variant_get(first, "$", "string")))
+
+    return let(F.try_variant_get(F.try_parse_json(_c(c)), "$[0]", "variant"), pick)
 
 
 def first_tag(c) -> Column:
@@ -156,10 +169,12 @@ def clean_text(c, max_chars: int = CLEAN_MAX_CHARS, min_chars: int = CLEAN_MIN_C
     than ``min_chars`` characters of a raw text longer than ``raw_threshold``
     keep the raw text; cut to ``max_chars`` characters either way."""
     raw = _c(c)
-    cleaned = F.trim(F.regexp_replace(raw, _WS_RUN, " "))
-    too_aggressive = (F.length(cleaned) < min_chars) & (F.length(raw) > raw_threshold)
-    return F.when(too_aggressive, F.substring(raw, 1, max_chars)) \
-        .otherwise(F.substring(cleaned, 1, max_chars))
+
+    def pick(cleaned: Column) -> Column:
+        too_aggressive = (F.length(cleaned) < min_chars) & (F.length(raw) > raw_threshold)
+        return F.substring(F.when(too_aggressive, raw).otherwise(cleaned), 1, max_chars)
+
+    return let(F.trim(F.regexp_replace(raw, _WS_RUN, " ")), pick)
 
 
 def truncate(c, n: int) -> Column:
