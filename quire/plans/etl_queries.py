@@ -115,7 +115,7 @@ def q_feed_staging(spark, sf):
 
 
 def q_dedupe_keep_last(spark, sf):
-    d = td.table(spark, sf, "documents")
+    d = td.table(spark, sf, "documents", cpu_bound=False)   # shuffles on text right away
     return stg.dedupe_keep_last(d, ["text"], "doc_id")
 
 

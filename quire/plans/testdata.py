@@ -31,14 +31,33 @@ ARTICLE_DAY0 = "2023-01-01"
 _SCHEMAS: dict[tuple[str, str], object] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, cpu_bound: bool = True) -> DataFrame:
     """A test table; its footer schema is read once per session and then
-    passed explicitly, so later reads start no schema-inference job."""
+    passed explicitly, so later reads start no schema-inference job.
+    ``cpu_bound``: the caller does per-row CPU work on a text table before
+    any shuffle (see ``spread``)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
     if key not in _SCHEMAS:
         _SCHEMAS[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    df = spark.read.schema(_SCHEMAS[key]).parquet(path)
+    return spread(df) if cpu_bound and name in TEXT_TABLES else df
+
+
+# Tables whose rows carry long texts: regex cleanup, JSON building, HTML
+# parsing and rule checks on them are CPU-bound per row.
+TEXT_TABLES = ("documents", "pages")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for CPU-bound per-row work when the scan has fewer
+    splits than the cluster has task slots (a file of one row group is one
+    task).  On large inputs the scan already has more splits than slots, so
+    no shuffle is added."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
