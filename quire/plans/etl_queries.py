@@ -157,6 +157,14 @@ def q_dim_union(spark, sf):
     return dim.union_sources(dim_gfg_rows(spark, sf), dim_feed_rows(spark, sf)).select(*dim.DIM_COLUMNS)
 
 
+def q_dim_duplicate_keys(spark, sf):
+    return dim.duplicate_keys(dim.union_sources(dim_gfg_rows(spark, sf), dim_feed_rows(spark, sf)))
+
+
+def q_ledger_state(spark, sf):
+    return led.current_state(_ledger(spark, sf))
+
+
 def q_dim_load(spark, sf):
     return dim_loaded(spark, sf).select(*dim.DIM_COLUMNS, "created_at", "updated_at")
 
@@ -228,6 +236,8 @@ QUERIES = {
     "dim_gfg": q_dim_gfg,
     "dim_feed": q_dim_feed,
     "dim_union": q_dim_union,
+    "dim_duplicate_keys": q_dim_duplicate_keys,
+    "ledger_state": q_ledger_state,
     "dim_load": q_dim_load,
     "dim_upsert": q_dim_upsert,
     "unprocessed": q_unprocessed,
@@ -397,6 +407,14 @@ FROM art_stg""",
     "dim_gfg": f"{_WD} SELECT {_DIMCOLS} FROM dim_g",
     "dim_feed": f"{_WD} SELECT {_DIMCOLS} FROM dim_f",
     "dim_union": f"{_WD} SELECT {_DIMCOLS} FROM dim_g UNION ALL SELECT {_DIMCOLS} FROM dim_f",
+    "dim_duplicate_keys": f"""{_WD}
+SELECT article_id, count(*) AS count FROM (SELECT article_id FROM dim_g UNION ALL SELECT article_id FROM dim_f)
+GROUP BY article_id HAVING count(*) > 1""",
+    "ledger_state": f"""
+WITH led AS (SELECT CAST(doc_id AS VARCHAR) AS pk_value, 'processed' AS state, 1 AS run_seq FROM labels
+             UNION ALL SELECT CAST(doc_id AS VARCHAR), 'open', 2 FROM labels WHERE toxic = 1)
+SELECT '{MEDIUM_RULES.table}' AS source_table, pk_value, arg_max(state, run_seq) AS state
+FROM led GROUP BY pk_value""",
     "dim_load": f"{_WD} SELECT * FROM dim_all",
     "dim_upsert": f"""{_WD},
 ex AS (SELECT * FROM f_last WHERE src_pk % 2 = 0),

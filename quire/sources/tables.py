@@ -129,6 +129,33 @@ class Workspace:
         return self.spark.sql(statement, args=args, **refs)
 
 
+def ingest(ws: "Workspace", df: DataFrame, table: str, transform=None,
+           run_id: str | None = None) -> DataFrame:
+    """Generic ingest -- optional ``transform(df)``, then the rows
+    aligned to the registered schema (absent columns NULL, ``ingested_at`` =
+    now) and appended; with ``run_id`` the run's partition is replaced
+    instead, so the ingest can be repeated safely.  Returns the written
+    frame (lazy)."""
+    schema = schema_of(table)
+    out = df.transform(transform) if transform else df
+    if "ingested_at" in schema.names and "ingested_at" not in out.columns:
+        out = with_defaults(out)
+    if run_id is not None:
+        out = out.withColumn("run_id", F.lit(run_id))
+    out = out.select(*[(F.col(f.name) if f.name in out.columns else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in schema.fields])
+    if run_id is not None and "run_id" in schema.names:
+        ws.write_run(out, table)
+    else:
+        ws.write(out, table, "append")
+    return out
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows (a limit, pushed into the scan)."""
+    return df.limit(n)
+
+
 def with_defaults(df: DataFrame, now: Column | None = None, **flags) -> DataFrame:
     """K6: timestamp defaults (``ingested_at`` / ``created_at`` ... = now)."""
     now = now if now is not None else F.current_timestamp()

@@ -49,3 +49,17 @@ def test_observation_csv_keeps_all_columns(spark, tmp_dir):
     assert [c for c in df.columns if not c.startswith("_")] == ["geo", "TIME_PERIOD", "unit",
                                                                 "indic_cr", "OBS_VALUE", "freq"]
     assert [r.OBS_VALUE for r in df.orderBy("geo").collect()] == [":", None]
+
+
+def test_generic_ingest_aligns_and_replays(spark, tmp_dir):
+    from quire.operators import staging as stg
+    from quire.sources.tables import ingest, preview
+    ws = Workspace(spark, f"{tmp_dir}/ws")
+    raw = spark.createDataFrame([(1, "Sorting a list", "bob", "02 Jan, 2023", "https://ex.org/s/", "easy")],
+                                "id long, title string, author_id string, last_updated string, "
+                                "link string, category string")
+    ingest(ws, raw, "stg_gfg_articles", stg.transform_gfg, run_id="r1")
+    ingest(ws, raw, "stg_gfg_articles", stg.transform_gfg, run_id="r1")
+    rows = ws.read("stg_gfg_articles").collect()
+    assert len(rows) == 1 and rows[0].article_id == "s" and rows[0].ingested_at is not None
+    assert preview(ws.read("stg_gfg_articles")).count() == 1
