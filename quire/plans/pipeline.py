@@ -105,14 +105,16 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     now_c = F.lit(now).cast("timestamp")
     table = profile.staging_table
 
-    # 1. stage: ids follow input order (assigned at the scan, before any shuffle)
-    prev = ws.read(table).filter(F.col("run_id") != run_id)
-    id_base = _max_or(prev, "id", -1) + 1
+    # 1. stage: ids follow input order (assigned at the scan, before any shuffle);
+    # the id base comes from the run log, not from a scan of staging history
+    id_base = _max_or(runs.filter(F.col("source_table") == table), "next_id", 0)
     with_id = raw.withColumn("_sid", F.lit(id_base) + F.monotonically_increasing_id())
     staged = profile.transform(with_id).withColumnRenamed("_sid", "id") \
         .withColumn("ingested_at", now_c).withColumn("run_id", F.lit(run_id))
     staged_obs = Observation(f"staged_{run_seq}")
-    ws.write_run(staged.observe(staged_obs, F.count(F.lit(1)).alias("n")), table)
+    ws.write_run(staged.observe(staged_obs, F.count(F.lit(1)).alias("n"),
+                                F.max("id").alias("max_id")), table)
+    next_id = id_base if staged_obs.get["max_id"] is None else staged_obs.get["max_id"] + 1
 
     # 2-3. pending rows (this batch + open queue), validated once and written
     # to the run's work folder
@@ -139,19 +141,20 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     # 5. dimension: dedupe in batch, guard, upsert into a new version (a batch
     # without clean rows leaves the current version in place)
     c = chk_obs.get
-    dim_version, dim_rows = None, 0
+    dim_version, dim_rows, dim_next_id = None, 0, None
     if c["clean"] > 0:
         incoming = dim.latest_per_key(profile.to_dim(v.clean))
         bad = dim.guard(incoming)
         if not bad.isEmpty():
             raise val.SchemaError("dim_articles", [tuple(r) for r in bad.limit(20).collect()])
         existing = current_dimension(ws)
-        id_base_dim = 0 if existing is None else _max_or(existing, "id", -1) + 1
+        id_base_dim = _max_or(runs, "dim_next_id", 0)
         merged = dim.upsert(existing, incoming, now_c, id_base_dim)
         dim_obs = Observation(f"dim_{run_seq}")
-        merged.observe(dim_obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
-            .parquet(f"{ws.path('dim_articles')}/version={run_seq}")
+        merged.observe(dim_obs, F.count(F.lit(1)).alias("n"), F.max("id").alias("max_id")) \
+            .write.mode("overwrite").parquet(f"{ws.path('dim_articles')}/version={run_seq}")
         dim_version, dim_rows = run_seq, dim_obs.get["n"]
+        dim_next_id = max(id_base_dim, (dim_obs.get["max_id"] or -1) + 1)
 
     # 6. ledger, after the load succeeded
     marks = led.mark_processed(v.clean.select(profile.pk), table, profile.pk, run_seq, now_c) \
@@ -161,7 +164,8 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     # 7. commit
     report = spark.createDataFrame(
         [(run_id, run_seq, table, now, staged_obs.get["n"], c["pending"], c["clean"],
-          c["pending"] - c["clean"], dim_rows, dim_version, run_seq)], schema_of("runs"))
+          c["pending"] - c["clean"], dim_rows, dim_version, run_seq, next_id, dim_next_id)],
+        schema_of("runs"))
     ws.write_run(report, "runs")
     return report
 
@@ -182,7 +186,8 @@ def reopen(ws: Workspace, keys: DataFrame, table: str, run_id: str, pk: str = "i
         .dropDuplicates([pk])
     queue.write.mode("overwrite").parquet(_queue_path(ws, table, seq))
     ws.write_run(ws.spark.createDataFrame(
-        [(run_id, seq, table, now, 0, None, None, None, None, None, seq)], schema_of("runs")), "runs")
+        [(run_id, seq, table, now, 0, None, None, None, None, None, seq, None, None)],
+        schema_of("runs")), "runs")
 
 
 def latest_quarantine(ws: Workspace) -> DataFrame:

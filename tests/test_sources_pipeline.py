@@ -77,3 +77,8 @@ def test_pipeline_runs_are_replay_safe(spark, tmp_dir):
     r4 = pl.run_source(ws, pl.MEDIUM, entries.limit(0), "r3").first()
     assert r4.pending == 3          # 2 quarantined + 1 reopened
     assert ws.sql("SELECT count(*) AS n FROM {runs} WHERE run_seq >= :s", args={"s": 2}).first().n >= 3
+    # surrogate keys stay unique across runs (bases come from the run log)
+    stg_ids = ws.read("stg_medium_articles").select("id")
+    assert stg_ids.distinct().count() == stg_ids.count() == 4
+    dim_ids = pl.current_dimension(ws).select("id")
+    assert dim_ids.distinct().count() == dim_ids.count() == 2
