@@ -154,7 +154,8 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
         merged.observe(dim_obs, F.count(F.lit(1)).alias("n"), F.max("id").alias("max_id")) \
             .write.mode("overwrite").parquet(f"{ws.path('dim_articles')}/version={run_seq}")
         dim_version, dim_rows = run_seq, dim_obs.get["n"]
-        dim_next_id = max(id_base_dim, (dim_obs.get["max_id"] or -1) + 1)
+        top = dim_obs.get["max_id"]
+        dim_next_id = id_base_dim if top is None else max(id_base_dim, top + 1)
 
     # 6. ledger, after the load succeeded
     marks = led.mark_processed(v.clean.select(profile.pk), table, profile.pk, run_seq, now_c) \

@@ -2,8 +2,8 @@
 create / drop / reset (K2-K4), guarded writes (K1), CSV export (K5),
 default columns (K6), table listing (S10) and parameterised SQL (S7).
 
-Writes that belong to a run go to a ``run_id=<id>`` partition with dynamic
-partition overwrite, so re-running a failed run replaces its own output
+Writes that belong to a run go to a ``[source_table=<t>/]run_id=<id>``
+partition with dynamic partition overwrite, so re-running a failed run replaces its own output
 instead of appending it twice.
 """
 
@@ -117,8 +117,11 @@ class Workspace:
         w.parquet(self.path(name))
 
     def write_run(self, df: DataFrame, name: str) -> None:
-        """Idempotent per run: replaces the ``run_id`` partition(s) in ``df``."""
-        self.write(df, name, "overwrite_partitions", ["run_id"])
+        """Idempotent per run: replaces the ``run_id`` partition(s) in ``df``
+        (per source table where the table is shared by sources, so two
+        sources loaded under one run id never replace each other's rows)."""
+        keys = ["source_table", "run_id"] if "source_table" in schema_of(name).names else ["run_id"]
+        self.write(df, name, "overwrite_partitions", keys)
 
     def sql(self, statement: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:
         """Parameterised SQL over workspace tables (``{name}`` refers to

@@ -72,7 +72,7 @@ def test_pipeline_runs_are_replay_safe(spark, tmp_dir):
     q = pl.latest_quarantine(ws)
     assert q.filter(F.col("source_table") == "stg_medium_articles").count() == 2
     # reopen a loaded key: picked up again by the next run
-    loaded = ws.read("ledger").filter("state = 'processed'").select(F.col("pk_value").cast("long").alias("id"))
+    loaded = ws.read("ledger").filter("state = 'processed' AND source_table = 'stg_medium_articles'").select(F.col("pk_value").cast("long").alias("id"))
     pl.reopen(ws, loaded.limit(1), "stg_medium_articles", "fix1")
     r4 = pl.run_source(ws, pl.MEDIUM, entries.limit(0), "r3").first()
     assert r4.pending == 3          # 2 quarantined + 1 reopened
@@ -82,3 +82,6 @@ def test_pipeline_runs_are_replay_safe(spark, tmp_dir):
     assert stg_ids.distinct().count() == stg_ids.count() == 4
     dim_ids = pl.current_dimension(ws).select("id")
     assert dim_ids.distinct().count() == dim_ids.count() == 2
+    # both sources ran under run id r1: neither replaced the other's records
+    assert ws.read("runs").filter("run_id = 'r1'").count() == 2
+    assert ws.read("dq_quarantine").filter("run_id = 'r1'").select("source_table").distinct().count() == 2
