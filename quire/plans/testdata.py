@@ -50,12 +50,13 @@ TEXT_TABLES = ("documents", "pages")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for CPU-bound per-row work when the scan has fewer
-    splits than the cluster has task slots (a file of one row group is one
-    task).  On large inputs the scan already has more splits than slots, so
-    no shuffle is added."""
+    """Use every core for CPU-bound per-row work when the input has fewer
+    files than the cluster has task slots.  The file count (a driver-side
+    listing) is the signal, not the split count: a file written as one row
+    group is one task however many byte splits it has.  Inputs written by
+    a distributed job have many files, so no shuffle is added there."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    if len(df.inputFiles()) < slots:
         return df.repartition(slots)
     return df
 
