@@ -56,9 +56,16 @@ def spread(df: DataFrame) -> DataFrame:
     group is one task however many byte splits it has.  Inputs written by
     a distributed job have many files, so no shuffle is added there."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < slots:
-        return df.repartition(slots)
-    return df
+    if len(df.inputFiles()) >= slots:
+        return df
+    # Catalyst pushes filters through a repartition, which would move the
+    # rule checks and regex extractions back into the single scan task.  A
+    # nondeterministic filter is neither pushed down nor merged with the
+    # filters above it, so ``rand(0) * 0 = 0`` (always true: no row is
+    # dropped; written so that the optimizer's rand-comparison folding does
+    # not remove it) right above the shuffle keeps later filters on the
+    # spread side.
+    return df.repartition(slots).filter(F.rand(0) * F.lit(0.0) == F.lit(0.0))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
