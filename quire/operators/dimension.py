@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.scalars import first_author, first_tag, parse_mixed_date
+from quire.functions.scalars import (first_author, first_tag, parse_mixed_date,
+                                     platform_count_key)
 from quire.operators.rules import DIM_RULES
 from quire.operators.staging import dedupe_keep_last
 from quire.operators.validate import annotate, failure_cases
@@ -115,6 +116,13 @@ def stats(dim: DataFrame) -> DataFrame:
                    F.max("pub_date").alias("latest_pub"))
 
 
+def platform_counts(dim: DataFrame) -> DataFrame:
+    """A7 + F16: ``<platform>_count`` keys with their article counts, for any
+    set of platforms (the long form of the stats record)."""
+    return dim.groupBy(platform_count_key(F.col("source_platform")).alias("stat")) \
+              .agg(F.count(F.lit(1)).alias("value"))
+
+
 def by_platform(dim: DataFrame) -> DataFrame:
     """Articles and publication range per platform."""
     return dim.groupBy("source_platform").agg(

@@ -179,6 +179,14 @@ def q_dim_upsert(spark, sf):
     return out.select(*dim.DIM_COLUMNS, "created_at", "updated_at")
 
 
+def q_dim_upsert_counts(spark, sf):
+    rows = dim_feed_rows(spark, sf)
+    doc = F.col("_src_pk")
+    existing = dim.upsert(None, rows.filter(doc % 2 == 0), F.lit(T0).cast("timestamp"))
+    incoming = rows.filter((doc % 2 == 1) | (doc % 4 == 0))
+    return dim.upsert_counts(existing, incoming)
+
+
 def _ledger(spark, sf):
     labels = td.table(spark, sf, "labels")
     t = MEDIUM_RULES.table
@@ -196,6 +204,10 @@ def q_dim_stats(spark, sf):
     return dim.stats(dim_loaded(spark, sf))
 
 
+def q_dim_platform_counts(spark, sf):
+    return dim.platform_counts(dim_loaded(spark, sf))
+
+
 def q_dim_by_platform(spark, sf):
     return dim.by_platform(dim_loaded(spark, sf))
 
@@ -240,9 +252,11 @@ QUERIES = {
     "ledger_state": q_ledger_state,
     "dim_load": q_dim_load,
     "dim_upsert": q_dim_upsert,
+    "dim_upsert_counts": q_dim_upsert_counts,
     "unprocessed": q_unprocessed,
     "dim_stats": q_dim_stats,
     "dim_by_platform": q_dim_by_platform,
+    "dim_platform_counts": q_dim_platform_counts,
     "dim_top_categories": q_dim_top_categories,
     "dim_recent": q_dim_recent,
     "sql_params": q_sql_params,
@@ -431,6 +445,10 @@ SELECT coalesce(e.article_id, i.article_id) AS article_id,
        CASE WHEN e.article_id IS NOT NULL THEN TIMESTAMP '{T0}' ELSE TIMESTAMP '{T1}' END AS created_at,
        CASE WHEN i.article_id IS NOT NULL THEN TIMESTAMP '{T1}' ELSE TIMESTAMP '{T0}' END AS updated_at
 FROM ex e FULL OUTER JOIN inc i ON e.article_id = i.article_id""",
+    "dim_upsert_counts": f"""{_WD}
+SELECT count(*) FILTER (WHERE src_pk % 2 = 1) AS inserted,
+       count(*) FILTER (WHERE src_pk % 4 = 0) AS updated
+FROM f_last""",
     "unprocessed": f"""{_W},
 led AS (SELECT CAST(doc_id AS VARCHAR) AS pk_value, 'processed' AS state, 1 AS run_seq FROM labels
         UNION ALL SELECT CAST(doc_id AS VARCHAR), 'open', 2 FROM labels WHERE toxic = 1),
@@ -444,6 +462,9 @@ SELECT count(*) AS total, count(*) FILTER (WHERE source_platform = 'GFG') AS gfg
     "dim_by_platform": f"""{_WD}
 SELECT source_platform, count(*) AS article_count, min(pub_date) AS earliest_pub,
        max(pub_date) AS latest_pub FROM dim_all GROUP BY source_platform""",
+    "dim_platform_counts": f"""{_WD}
+SELECT lower(source_platform) || '_count' AS stat, count(*) AS value FROM dim_all
+GROUP BY lower(source_platform) || '_count'""",
     "dim_top_categories": f"""{_WD}
 SELECT category, count(*) AS article_count FROM dim_all WHERE category IS NOT NULL
 GROUP BY category ORDER BY article_count DESC, category ASC LIMIT 10""",

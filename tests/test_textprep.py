@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from quire.operators import textprep as tp
 
 
