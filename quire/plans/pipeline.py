@@ -13,7 +13,9 @@ One call of ``run_source`` = one batch of one source:
            it instead of recomputing the anti-join and the rules)
 4. park    quarantine records first (Q16), ``run_id`` partition; the failed
            rows become the next open queue version
-5. load    in-batch dedupe -> guard -> upsert into a new dimension version
+5. load    in-batch dedupe -> guard -> upsert of the touched keys, written
+           as this run's dimension delta (compacted into a base every
+           COMPACT_EVERY runs)
 6. mark    ledger rows for the loaded keys, only after the load succeeded
 7. commit  run report row; the dimension version becomes current
 
@@ -64,13 +66,42 @@ def committed_runs(ws: Workspace) -> DataFrame:
     return ws.read("runs")
 
 
+# The dimension is stored merge-on-read: a compacted base version plus one
+# delta per run holding only the keys that run upserted.  A run writes
+# O(batch) rows; every COMPACT_EVERY deltas the current view is written as a
+# new base.  Reading the current view needs no shuffle of the base: the
+# deltas (small, latest per key) replace base rows through an anti-join that
+# AQE broadcasts when the deltas are small.
+COMPACT_EVERY = 8
+
+
+def _dim_state(ws: Workspace) -> tuple[int, list[int]]:
+    """(base version or -1, committed delta versions after it).  Reads the
+    run log only; the delta list is bounded by COMPACT_EVERY."""
+    runs = committed_runs(ws)
+    base = _max_or(runs.filter(F.col("dim_base").isNotNull()), "dim_base", -1)
+    deltas = [r[0] for r in runs.filter(F.col("dim_version") > F.lit(base))
+              .select("dim_version").distinct().collect()]
+    return base, sorted(deltas)
+
+
+def _dim_view(ws: Workspace, base: int, deltas: list[int]) -> DataFrame | None:
+    spark, schema = ws.spark, schema_of("dim_articles")
+    root = ws.path("dim_articles")
+    b = spark.read.schema(schema).parquet(f"{root}/base/version={base}") if base >= 0 else None
+    if not deltas:
+        return b
+    d = spark.read.schema(schema.add("_seq", "long")).parquet(
+        *[f"{root}/delta/version={v}" for v in deltas])
+    latest = stg.dedupe_keep_last(d, ["article_id"], "_seq").drop("_seq")
+    if b is None:
+        return latest
+    return latest.unionByName(b.join(latest.select("article_id"), "article_id", "left_anti"))
+
+
 def current_dimension(ws: Workspace) -> DataFrame | None:
-    """The dimension version of the last committed run (None before any)."""
-    v = _max_or(committed_runs(ws).filter(F.col("dim_version").isNotNull()), "dim_version", -1)
-    if v < 0:
-        return None
-    return ws.spark.read.schema(schema_of("dim_articles")).parquet(
-        f"{ws.path('dim_articles')}/version={v}")
+    """The current article dimension (None before any load)."""
+    return _dim_view(ws, *_dim_state(ws))
 
 
 def next_run_seq(ws: Workspace) -> int:
@@ -141,21 +172,29 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     # 5. dimension: dedupe in batch, guard, upsert into a new version (a batch
     # without clean rows leaves the current version in place)
     c = chk_obs.get
-    dim_version, dim_rows, dim_next_id = None, 0, None
+    dim_version, dim_rows, dim_next_id, dim_base = None, 0, None, None
     if c["clean"] > 0:
         incoming = dim.latest_per_key(profile.to_dim(v.clean))
         bad = dim.guard(incoming)
         if not bad.isEmpty():
             raise val.SchemaError("dim_articles", [tuple(r) for r in bad.limit(20).collect()])
-        existing = current_dimension(ws)
+        base, deltas = _dim_state(ws)
+        existing = _dim_view(ws, base, deltas)
+        if existing is not None:     # only the keys this batch touches
+            existing = existing.join(incoming.select("article_id"), "article_id", "left_semi")
         id_base_dim = _max_or(runs, "dim_next_id", 0)
-        merged = dim.upsert(existing, incoming, now_c, id_base_dim)
+        delta = dim.upsert(existing, incoming, now_c, id_base_dim)
         dim_obs = Observation(f"dim_{run_seq}")
-        merged.observe(dim_obs, F.count(F.lit(1)).alias("n"), F.max("id").alias("max_id")) \
-            .write.mode("overwrite").parquet(f"{ws.path('dim_articles')}/version={run_seq}")
+        delta.withColumn("_seq", F.lit(run_seq).cast("long")) \
+            .observe(dim_obs, F.count(F.lit(1)).alias("n"), F.max("id").alias("max_id")) \
+            .write.mode("overwrite").parquet(f"{ws.path('dim_articles')}/delta/version={run_seq}")
         dim_version, dim_rows = run_seq, dim_obs.get["n"]
         top = dim_obs.get["max_id"]
         dim_next_id = id_base_dim if top is None else max(id_base_dim, top + 1)
+        if len(deltas) + 1 >= COMPACT_EVERY:
+            _dim_view(ws, base, deltas + [run_seq]).write.mode("overwrite") \
+                .parquet(f"{ws.path('dim_articles')}/base/version={run_seq}")
+            dim_base = run_seq
 
     # 6. ledger, after the load succeeded
     marks = led.mark_processed(v.clean.select(profile.pk), table, profile.pk, run_seq, now_c) \
@@ -165,7 +204,8 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     # 7. commit
     report = spark.createDataFrame(
         [(run_id, run_seq, table, now, staged_obs.get["n"], c["pending"], c["clean"],
-          c["pending"] - c["clean"], dim_rows, dim_version, run_seq, next_id, dim_next_id)],
+          c["pending"] - c["clean"], dim_rows, dim_version, run_seq, next_id, dim_next_id,
+          dim_base)],
         schema_of("runs"))
     ws.write_run(report, "runs")
     return report
@@ -187,7 +227,7 @@ def reopen(ws: Workspace, keys: DataFrame, table: str, run_id: str, pk: str = "i
         .dropDuplicates([pk])
     queue.write.mode("overwrite").parquet(_queue_path(ws, table, seq))
     ws.write_run(ws.spark.createDataFrame(
-        [(run_id, seq, table, now, 0, None, None, None, None, None, seq, None, None)],
+        [(run_id, seq, table, now, 0, None, None, None, None, None, seq, None, None, None)],
         schema_of("runs")), "runs")
 
 

@@ -32,7 +32,7 @@ SCHEMAS = {
     "ledger": LEDGER_SCHEMA + ", run_id string",
     "runs": ("run_id string, run_seq long, source_table string, at timestamp, staged long, "
              "pending long, clean long, quarantined long, dim_rows long, dim_version long, "
-             "queue_version long, next_id long, dim_next_id long"),
+             "queue_version long, next_id long, dim_next_id long, dim_base long"),
 }
 # Source columns of the staging tables (what ``total_columns`` counts in the
 # quarantine: the staging table's width without our run partition column).

@@ -85,3 +85,25 @@ def test_pipeline_runs_are_replay_safe(spark, tmp_dir):
     # both sources ran under run id r1: neither replaced the other's records
     assert ws.read("runs").filter("run_id = 'r1'").count() == 2
     assert ws.read("dq_quarantine").filter("run_id = 'r1'").select("source_table").distinct().count() == 2
+
+
+def test_dimension_deltas_and_compaction(spark, tmp_dir, monkeypatch):
+    land(tmp_dir)
+    monkeypatch.setattr(pl, "COMPACT_EVERY", 2)
+    ws = Workspace(spark, f"{tmp_dir}/ws")
+    csv = fs.read_article_csv(spark, f"{tmp_dir}/a.csv")
+    entries, _ = fs.read_feeds(spark, f"{tmp_dir}/feeds")
+    pl.run_source(ws, pl.GFG, csv, "r1")                  # delta 1
+    pl.run_source(ws, pl.MEDIUM, entries, "r1")           # delta 2 -> base
+    first = {r.article_id: r for r in pl.current_dimension(ws).collect()}
+    assert os.path.isdir(f"{tmp_dir}/ws/dim_articles/base/version=2")
+    changed = entries.withColumn("title", F.concat(F.col("title"), F.lit(" v2")))
+    r3 = pl.run_source(ws, pl.MEDIUM, changed, "r2").first()   # delta after the base
+    assert r3.dim_rows == 1                                    # only the touched key is written
+    now = {r.article_id: r for r in pl.current_dimension(ws).collect()}
+    assert set(now) == set(first)
+    a1 = "https://ex.org/p/a1"
+    assert now[a1].title == "First article again v2"
+    assert now[a1].created_at == first[a1].created_at and now[a1].updated_at > first[a1].updated_at
+    assert now[a1].id == first[a1].id
+    assert now["sorting-a-list"] == first["sorting-a-list"]
