@@ -64,8 +64,48 @@ docs AS (
          THEN substr(text, 1, {CLEAN_MAX_CHARS}) ELSE substr(c, 1, {CLEAN_MAX_CHARS}) END AS content
   FROM cleaned)"""
 
+# Oracle for page_main_text.  SQL has no HTML parser; on these generated
+# pages (no scripts or styles inside <body>, no nested <article>, no <main>,
+# only the entities below; an unclosed element ends where its parent ends)
+# dropping comments and tags and decoding the
+# entities gives the DOM text, so the UDF is checked against an independent
+# derivation.  '&amp' is decoded last, so '&amp;lt;' stays '&lt;'.
+_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
+             ("&copy;", "©"), ("&middot;", "·")]
+
+
+def _strip_html(x: str) -> str:
+    out = f"regexp_replace(regexp_replace({x}, '(?s)<!--.*?-->', '', 'g'), '<[^>]*>', '', 'g')"
+    for ent, ch in _ENTITIES:
+        out = f"replace({out}, '{ent}', '{ch}')"
+    # '&amp' decodes with or without its semicolon (HTML's legacy rule)
+    return f"regexp_replace({out}, '&amp;?', '&', 'g')"
+
+
+_PAGES = f"""
+body AS (
+  SELECT page_id, url,
+    split_part(regexp_extract(html, '(?s)<body[^>]*>(.*)$', 1), '</body>', 1) AS body_html
+  FROM pages),
+raw AS (
+  SELECT page_id, url, body_html,
+    split_part(regexp_extract(body_html, '(?s)<article[^>]*>(.*)$', 1), '</article>', 1) AS art_html
+  FROM body),
+txt AS (SELECT page_id, url, {_strip_html('art_html')} AS art, {_strip_html('body_html')} AS body FROM raw),
+picked AS (
+  SELECT page_id, url,
+    CASE WHEN length(regexp_replace(art, '^{_WS}|{_WS}$', '', 'g')) > {tp.MIN_SELECTOR_CHARS}
+         THEN art ELSE body END AS text
+  FROM txt),
+cleaned AS (SELECT page_id, url, text, trim(regexp_replace(text, '{_WS}', ' ', 'g')) AS c FROM picked)"""
+
 ORACLE = {
     "text_cleanup": f"WITH {_CLEAN} SELECT doc_id, content FROM docs",
+    "page_main_text": f"""WITH {_PAGES}
+SELECT page_id, url,
+  CASE WHEN length(c) < {CLEAN_MIN_CHARS} AND length(text) > {CLEAN_RAW_THRESHOLD}
+       THEN substr(text, 1, {CLEAN_MAX_CHARS}) ELSE substr(c, 1, {CLEAN_MAX_CHARS}) END AS content
+FROM cleaned""",
     "min_length_gate": f"""WITH {_CLEAN}
 SELECT doc_id, CAST(length(content) AS INTEGER) AS content_length,
        length(content) >= {tp.MIN_CONTENT_CHARS} AS accepted,

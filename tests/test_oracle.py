@@ -34,7 +34,5 @@ def test_entry_smoke(spark):
                                               "earliest_pub", "latest_pub"]
 
 
-def test_every_query_runs(spark):
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"page_main_text"}
-    assert E.queries()["page_main_text"](spark, SF).count() > 0
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
