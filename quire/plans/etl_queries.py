@@ -55,7 +55,7 @@ def dim_loaded(spark, sf, now=None):
 
 # --- queries ---------------------------------------------------------------
 def q_url_slug(spark, sf):
-    p = td.table(spark, sf, "pages")
+    p = td.table(spark, sf, "pages", cpu_bound=False)     # light per-row work, html not read
     return p.select("page_id", "url", S.url_slug(F.col("url")).alias("article_id"))
 
 
