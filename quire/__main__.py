@@ -1,7 +1,7 @@
 """Command line: one ETL run over landed files (the reference's ``main``).
 
     python -m quire run --workspace DIR [--csv PATH ...] [--feeds PATH ...]
-                        [--run-id ID] [--stream]
+                        [--run-id ID] [--stream] [--reset]
     python -m quire stats --workspace DIR
 
 ``run`` loads each given source as one batch (or, with ``--stream``, every
@@ -35,6 +35,8 @@ def main(argv=None) -> None:
     r.add_argument("--feeds", nargs="*", default=[])
     r.add_argument("--run-id", default=None)
     r.add_argument("--stream", action="store_true")
+    r.add_argument("--reset", action="store_true",
+                   help="drop every table of the workspace first (opt-in)")
     s = sub.add_parser("stats")
     s.add_argument("--workspace", required=True)
     a = ap.parse_args(argv)
@@ -48,6 +50,8 @@ def main(argv=None) -> None:
     spark = _session()
     apply_required_conf(spark)
     ws = Workspace(spark, a.workspace)
+    if a.cmd == "run" and a.reset:
+        ws.reset()
     if a.cmd == "run":
         run_id = a.run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
         if a.stream:

@@ -85,8 +85,10 @@ class Workspace:
         return bool(fs.delete(p, True)) if fs.exists(p) else False
 
     def reset(self) -> None:
-        """K4: remove every table of the workspace (opt-in, never implicit)."""
-        for name in SCHEMAS:
+        """K4: remove every table of the workspace (opt-in, never implicit):
+        the registered tables, the dimension store, open queues and run work
+        folders."""
+        for name in [*SCHEMAS, "_work", *[f"queue_{t}" for t in STAGING_WIDTH]]:
             self.drop(name)
 
     # --- reads and writes ---------------------------------------------------
