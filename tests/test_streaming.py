@@ -31,3 +31,25 @@ def test_available_now_picks_up_only_new_files(spark, tmp_dir):
     assert len(runs) == 2 and runs[1].staged == 2
     assert {r.article_id for r in pl.current_dimension(ws).collect()} == {
         "https://ex.org/p/a1", "https://ex.org/p/c1"}
+
+
+def test_available_now_article_csv(spark, tmp_dir):
+    from test_sources_pipeline import CSV
+    landing = f"{tmp_dir}/csv"
+    os.makedirs(landing)
+    with open(f"{landing}/a.csv", "w") as f:
+        f.write(CSV)
+    ws = Workspace(spark, f"{tmp_dir}/ws")
+    ckpt = f"{tmp_dir}/ckpt"
+    inc.run_available(ws, "gfg", landing, ckpt)
+    runs = ws.read("runs").collect()
+    assert len(runs) == 1 and (runs[0].staged, runs[0].clean) == (3, 1)
+    with open(f"{landing}/b.csv", "w") as f:
+        f.write("title,author_id,last_updated,link,category\n"
+                "Another good one,ann,\"05 Mar, 2024\",https://ex.org/another-good-one/,hard\n")
+    inc.run_available(ws, "gfg", landing, ckpt)
+    runs = sorted(ws.read("runs").collect(), key=lambda r: r.run_seq)
+    assert len(runs) == 2 and runs[1].staged == 1
+    # the two rows quarantined by the first batch are retried with the second
+    assert runs[1].pending == 3 and runs[1].quarantined == 2
+    assert {r.article_id for r in pl.current_dimension(ws).collect()} == {"sorting-a-list", "another-good-one"}
