@@ -64,7 +64,8 @@ def main(argv=None) -> None:
             if a.csv:
                 pl.run_source(ws, pl.GFG, fs.read_article_csv(spark, a.csv), run_id).show(truncate=False)
             if a.feeds:
-                entries, rejected = fs.read_feeds(spark, a.feeds)
+                entries, rejected = fs.read_feeds(
+                    spark, a.feeds, work_dir=f"{ws.root}/_work/run_id={run_id}/feed_items")
                 rejected.show(truncate=False)
                 pl.run_source(ws, pl.MEDIUM, entries, run_id).show(truncate=False)
     d = pl.current_dimension(ws)

@@ -128,7 +128,20 @@ def feed_items_to_entries(items: DataFrame) -> DataFrame:
         tags.alias("tags"), authors.alias("authors"))
 
 
-def read_feeds(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
-    """(entries of intact feed files, rejected files)."""
-    good, bad = reject_broken_files(read_feed_items(spark, paths))
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once to ``path`` (a folder in the shared workspace) and
+    read it back: later uses scan columnar Parquet instead of re-parsing the
+    source, and the lineage is cut, so a lost executor re-reads the copy."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def read_feeds(spark: SparkSession, paths, work_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(entries of intact feed files, rejected files).  With
+    ``work_dir`` the XML is parsed once into a Parquet copy there; without
+    it the rejected-file set and the items are two scans of the XML."""
+    items = read_feed_items(spark, paths)
+    if work_dir is not None:
+        items = materialize(items, work_dir)
+    good, bad = reject_broken_files(items)
     return feed_items_to_entries(good), bad

@@ -58,6 +58,10 @@ def start(ws: Workspace, source: str, path: str, checkpoint: str | None = None,
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch = _with_pos(batch)
         if source == "medium":
+            # parse the batch's XML once: the rejected-file set and the items
+            # both read this Parquet copy
+            batch = fs.materialize(batch.drop("_metadata"),
+                                   f"{ws.root}/_work/run_id={source}-batch-{batch_id}/feed_items")
             good, _bad = fs.reject_broken_files(batch)
             raw = fs.feed_items_to_entries(good)
         else:

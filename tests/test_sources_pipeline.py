@@ -49,6 +49,10 @@ def test_feed_source_rejects_whole_file(spark, tmp_dir):
     assert {r.feed for r in entries.collect()} == {"quality"}
     assert entries.count() == 3
     assert [os.path.basename(r._source_file) for r in bad.collect()] == ["broken.xml"]
+    # parse-once form: the same result from a Parquet copy of the parsed items
+    e2, bad2 = fs.read_feeds(spark, f"{tmp_dir}/feeds", work_dir=f"{tmp_dir}/work/items")
+    assert sorted(map(tuple, e2.drop("pos").collect())) == sorted(map(tuple, entries.drop("pos").collect()))
+    assert bad2.count() == 1
 
 
 def test_pipeline_runs_are_replay_safe(spark, tmp_dir):
