@@ -70,3 +70,15 @@ def test_ledger_reopen(spark):
     ledger = l1.unionByName(l2)
     assert sorted(r.id for r in led.unprocessed(stage, ledger, "t").collect()) == [1, 4]
     assert led.unprocessed(stage, ledger, "other").count() == 5
+
+
+def test_keep_last_with_a_hot_key(spark):
+    # one key holds a third of all rows; the partial max_by keeps the result exact
+    n = 3000
+    rows = [("hot" if i % 3 == 0 else f"k{i}", i, f"v{i}") for i in range(n)]
+    df = spark.createDataFrame(rows, "key string, pos long, v string").repartition(8)
+    out = {r.key: r.v for r in stg.dedupe_keep_last(df, ["key"], "pos").collect()}
+    assert len(out) == 1 + 2 * n // 3
+    assert out["hot"] == f"v{max(i for i in range(n) if i % 3 == 0)}"
+    plan = stg.dedupe_keep_last(df, ["key"], "pos")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan          # reduced map-side before the shuffle
