@@ -37,6 +37,7 @@ from quire.operators import ledger as led
 from quire.operators import staging as stg
 from quire.operators import validate as val
 from quire.operators.rules import GFG_RULES, MEDIUM_RULES, RuleSet
+from quire.sources.files import spread
 from quire.sources.tables import STAGING_WIDTH, Workspace, schema_of
 
 
@@ -139,7 +140,9 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     # 1. stage: ids follow input order (assigned at the scan, before any shuffle);
     # the id base comes from the run log, not from a scan of staging history
     id_base = _max_or(runs.filter(F.col("source_table") == table), "next_id", 0)
-    with_id = raw.withColumn("_sid", F.lit(id_base) + F.monotonically_increasing_id())
+    # (ids first, at the scan; then, for inputs of few files, spread the
+    # per-row staging and rule work over all task slots)
+    with_id = spread(raw.withColumn("_sid", F.lit(id_base) + F.monotonically_increasing_id()))
     staged = profile.transform(with_id).withColumnRenamed("_sid", "id") \
         .withColumn("ingested_at", now_c).withColumn("run_id", F.lit(run_id))
     staged_obs = Observation(f"staged_{run_seq}")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.indicators import CAPACITY, HELD, UNIT_NUMBER, UNIT_PER_100K
+from quire.sources.files import spread
 
 # Fixed values of the bindings (ours, not the reference's).
 OTHER_INDICATOR = "Persons held before trial"
@@ -49,25 +50,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, cpu_bound: bool = True) -
 TEXT_TABLES = ("documents", "pages")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for CPU-bound per-row work when the input has fewer
-    files than the cluster has task slots.  The file count (a driver-side
-    listing) is the signal, not the split count: a file written as one row
-    group is one task however many byte splits it has.  Inputs written by
-    a distributed job have many files, so no shuffle is added there."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= slots:
-        return df
-    # Catalyst pushes filters through a repartition, which would move the
-    # rule checks and regex extractions back into the single scan task.  A
-    # nondeterministic filter is neither pushed down nor merged with the
-    # filters above it, so ``rand(0) * 0 = 0`` (always true: no row is
-    # dropped; written so that the optimizer's rand-comparison folding does
-    # not remove it) right above the shuffle keeps later filters on the
-    # spread side.
-    return df.repartition(slots).filter(F.rand(0) * F.lit(0.0) == F.lit(0.0))
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long observations: geo, TIME_PERIOD, unit, indic_cr, OBS_VALUE (text)."""
     orders = table(spark, sf_dir, "orders")
