@@ -72,6 +72,10 @@ def main(argv=None) -> None:
     if d is not None:
         dim.stats(d).show(truncate=False)
         dim.by_platform(d).show(truncate=False)
+    if a.cmd == "stats":
+        # open quarantine: the latest record per key, grouped by reason
+        pl.latest_quarantine(ws).groupBy("source_table", "validation_error").count() \
+            .orderBy("source_table", "validation_error").show(truncate=False)
 
 
 if __name__ == "__main__":
