@@ -111,3 +111,16 @@ def test_dimension_deltas_and_compaction(spark, tmp_dir, monkeypatch):
     assert now[a1].created_at == first[a1].created_at and now[a1].updated_at > first[a1].updated_at
     assert now[a1].id == first[a1].id
     assert now["sorting-a-list"] == first["sorting-a-list"]
+
+
+def test_command_line_run_and_stats(spark, tmp_dir, capsys):
+    from quire.__main__ import main
+    land(tmp_dir)
+    ws_dir = f"{tmp_dir}/ws"
+    main(["run", "--workspace", ws_dir, "--csv", f"{tmp_dir}/a.csv",
+          "--feeds", f"{tmp_dir}/feeds", "--run-id", "cli"])
+    main(["stats", "--workspace", ws_dir])
+    out = capsys.readouterr().out
+    assert "Failed columns: tags, authors" in out and "gfg_count" in out
+    runs = Workspace(spark, ws_dir).read("runs").filter("run_id = 'cli'").count()
+    assert runs == 2
