@@ -3,13 +3,19 @@ can express them."""
 
 from __future__ import annotations
 
-from . import decontam, linededup, mixing, secrets
+from . import chat, decontam, linededup, mixing, neardup, secrets, tokencount, tokenfile, topk, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_near_duplicates": neardup.op2_near_duplicates,
+    "op3_chat_format": chat.op3_chat_format,
+    "op4_token_file": tokenfile.op4_token_file,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_line_dedup": linededup.op6_line_dedup,
     "op7_source_mix": mixing.op7_source_mix,
+    "op8_token_counts": tokencount.op8_token_counts,
     "op9_decontamination": decontam.op9_decontamination,
+    "op10_top_k": topk.op10_top_k,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -17,6 +23,27 @@ _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE = {
+    "op3_chat_format": """
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|turn|><|text|><|end|>') + length(regexp_replace(role, '<(~*)[|]', '<~\\1|', 'g'))
+           + length(regexp_replace(text, '<(~*)[|]', '<~\\1|', 'g')))::BIGINT AS formatted_chars
+FROM said GROUP BY conv_id""",
+    "op10_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5""",
     "op6_line_dedup": f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
