@@ -10,10 +10,12 @@ component with the probability of the weighted Jaccard similarity.
 Generation stops as soon as no later point can come first.
 
 Documents of equal words are one node.  Nodes that share a band's bucket are
-candidates; within a bucket they are first compared with a leader (the node
-that shares most buckets), so a large group costs links in proportion to its
-size.  What then is not yet in one component in some bucket is compared with
-all other components there, so no pair that shares a bucket stays open.
+candidates; within a bucket all are compared with a leader (the node that
+shares most buckets), so a large group costs links in proportion to its size.
+A bucket that then holds several components is split by the shingles that its
+nodes have beyond the leader's, which loses no pair (see ``_split``), and the
+smaller buckets are treated alike; what is open at the end is compared across
+components, so no pair that shares a bucket stays open.
 Similarity is verified exactly: shingles are numbered by occurrence, so the
 multisets are sets.  Components come from alternating star contraction.
 
@@ -42,7 +44,7 @@ SIMILARITY = 0.8
 BANDS = 26
 ROWS = 5
 #: Rounds with leaders before all open pairs are compared.
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 3
 
 _STEP = np.uint64(0xD1342543DE82EF95)
 
@@ -185,37 +187,67 @@ def _fit(n: str, m: str, least: float) -> F.Column:
     return F.least(n, m) >= F.lit(least) * F.greatest(n, m)
 
 
+def _split(buckets: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(rows, pairs) that hold every link still to be found in open buckets
+    (bucket, node, n, degree, component, v, m: the leader and its size).
+
+    Let i be the overlap of a node with the leader.  If two nodes share no
+    shingle outside the leader's, each has their whole overlap in its own i;
+    so both i must reach the overlap that their sizes ask for.  Hence two
+    nodes either share a shingle outside the leader, and meet in the smaller
+    bucket of that shingle, or each is small enough for the other's i."""
+    c = least / (1 + least)
+    a, b = sets.select("node", F.col("s").alias("su")), sets.select(F.col("node").alias("v"), F.col("s").alias("sv"))
+    apart = stored(buckets.filter("node != v").select("node", "v").distinct().join(a, "node").join(b, "v").select(
+        "node", "v", F.size(F.array_intersect("su", "sv")).alias("i"), F.array_except("su", "sv").alias("d")), "apart")
+    facts = buckets.select("node", "n", "degree", "component").distinct()
+    finer = (apart.select("node", F.explode(F.transform("d", lambda s: F.xxhash64("v", s))).alias("bucket")))
+    several = finer.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
+    rows = finer.join(several, "bucket").join(facts, "node")
+    mixed = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("bucket")
+    rows = rows.join(mixed, "bucket").select("bucket", "node", "n", "degree", "component")
+    cap = F.floor(F.col("i") / F.lit(c) + F.lit(1e-9)) - F.col("n")
+    sized = buckets.join(apart.select("node", "v", "i"), ["node", "v"]).select(
+        "bucket", "node", "n", "component", cap.alias("cap"), (F.col("i") < F.lit(c) * (F.col("n") + F.col("m"))).alias("away"))
+    limits = sized.groupBy("bucket").agg(F.min("n").alias("least_n"), F.max(F.when(F.col("away"), F.col("cap"))).alias("most_cap")).filter("most_cap >= least_n")
+    sized = stored(sized.join(limits, "bucket"), "sized")
+    left = sized.filter("away and cap >= least_n").select("bucket", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("cap").alias("pc"), F.col("component").alias("pk"))
+    right = sized.filter("n <= most_cap").select("bucket", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("cap").alias("qc"), F.col("component").alias("qk"))
+    pairs = left.join(right, "bucket").filter("pk != qk and qn <= pc and pn <= qc").select(F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v"))
+    return rows, pairs.distinct()
+
+
 def links(rows: DataFrame, sets: DataFrame, least: float = SIMILARITY, rounds: int = LEADER_ROUNDS) -> DataFrame:
     """The edges (u, v) that connect all similar nodes which share a bucket.
     rows: bucket, node, n, degree."""
-    edges = None
+    edges, rest = None, None
     rows = rows.withColumn("component", F.col("node"))
     for k in range(rounds + 1):
-        if k:
-            found = components(edges)
-            rows = rows.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            open_ = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("bucket")
-            rows = stored(rows.join(open_, "bucket"), "open")
-            if rows.isEmpty():
-                break
+        leader = rows.groupBy("bucket").agg(F.max(F.struct("degree", "node", "n", "component")).alias("x"), F.count(F.lit(1)).alias("k")).select(
+            "bucket", F.col("x.node").alias("v"), F.col("x.n").alias("m"), F.col("x.component").alias("of"), "k")
         if k < rounds:
-            # Leaders: of all nodes first, later of those outside the component that the bucket's first leader is in.
-            who = rows
-            if k:
-                first = rows.groupBy("bucket").agg(F.max(F.struct("degree", "node", "component")).alias("x")).select("bucket", F.col("x.component").alias("of"))
-                who = rows.join(first, "bucket").filter("component != of")
-            leader = who.groupBy("bucket").agg(F.max(F.struct("degree", "node", "n", "component")).alias("x")).select(
-                "bucket", F.col("x.node").alias("v"), F.col("x.n").alias("m"), F.col("x.component").alias("of"))
-            pairs = rows.join(leader, "bucket").filter(F.col("component") != F.col("of")).filter(_fit("n", "m", least)).select(F.col("node").alias("u"), "v")
+            pairs = rows.join(leader, "bucket").filter(F.col("component") != F.col("of"))
         else:
             # The components in a bucket but its largest, against all others in it.
             each = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
             largest = each.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("x")).select("bucket", F.col("x.component").alias("of"))
             minor = rows.join(largest, "bucket").filter("component != of").select("bucket", F.col("node").alias("v"), F.col("n").alias("m"), F.col("component").alias("of"))
-            pairs = rows.join(minor, "bucket").filter(F.col("component") != F.col("of")).filter(_fit("n", "m", least)).select(
-                F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v"))
+            pairs = rows.join(minor, "bucket").filter(F.col("component") != F.col("of"))
+        pairs = pairs.filter(_fit("n", "m", least)).select(F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v"))
+        pairs = pairs if rest is None else pairs.unionByName(rest)
         new = stored(verified(pairs.distinct(), sets, least), "links")
         edges = new if edges is None else edges.unionByName(new)
+        if k == rounds:
+            break
+        found = stored(components(edges), "components")
+        now = rows.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        # Open: more than the leader and another, in more than one component.
+        open_ = now.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("bucket")
+        now = stored(now.join(open_, "bucket").join(leader.filter("k > 2").select("bucket", "v", "m"), "bucket"), "open")
+        if now.isEmpty():
+            break
+        rows, rest = _split(now, sets, least)
+        rows, rest = stored(rows, "rows"), stored(rest, "rest")
     return edges
 
 
