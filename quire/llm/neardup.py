@@ -43,6 +43,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 26
 ROWS = 5
+#: Rows of ids that are broadcast at most.
+MOST_IDS = 1_000_000
 #: Rounds with leaders before all open pairs are compared.
 LEADER_ROUNDS = 3
 
@@ -113,6 +115,11 @@ def with_hash(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash"))
 
 
+def _small(ids: DataFrame) -> DataFrame:
+    """For a join: broadcast while there are few rows of ids (at most 24 MB), else left to a shuffle."""
+    return F.broadcast(ids) if ids.count() <= MOST_IDS else ids
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, node, n (shingles), bands."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,9 +269,9 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     shared = stored(each.join(shared, "bucket"), "shared")
     degree = shared.groupBy("node").agg(F.sum("c").alias("degree"))
     buckets = stored(shared.join(degree, "node").select("bucket", "node", "n", "degree"), "buckets")
-    wanted = nodes.join(degree.select("node"), "node", "left_semi").select("node", F.col("rep.doc_id").alias("id"), F.col("rep.text_hash").alias("hash"))
+    wanted = stored(nodes.join(degree.select("node"), "node", "left_semi").select("node", F.col("rep.doc_id").alias("id"), F.col("rep.text_hash").alias("hash")), "wanted")
     d = with_hash(docs)
-    texts = d.join(wanted, d.doc_id.eqNullSafe(wanted.id) & (d.text_hash == wanted.hash)).select("node", "text")
+    texts = d.join(_small(wanted), d.doc_id.eqNullSafe(wanted.id) & (d.text_hash == wanted.hash)).select("node", "text")
     sets = shingle_sets(texts)
     if not rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():
         sets = sets.groupBy("node").agg(F.first("s").alias("s"))  # rows that repeat
@@ -281,15 +288,18 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def representatives(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The documents (all columns) that stay: of each class the one with the least doc_id."""
     found = stored(classes(docs, least), "classes")
-    stay = found.filter(F.col("class_id").eqNullSafe(F.col("doc_id")) & (F.col("class_hash") == F.col("text_hash")))
-    stay = stay.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.max("class_size").alias("__size"), F.count(F.lit(1)).alias("__n"))
+    first = F.col("class_id").eqNullSafe(F.col("doc_id")) & (F.col("class_hash") == F.col("text_hash"))
+    key = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    lost = stored(found.filter(~first).select(*key).distinct(), "lost")
+    again = found.filter(first & (F.col("class_size") > 1)).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__id", "__hash")
     d = docs.withColumn("__text_hash", F.xxhash64(F.col("text").cast("string")))
-    kept = d.join(stay, d.doc_id.cast("long").eqNullSafe(stay["__id"]) & (d["__text_hash"] == stay["__hash"]))
-    if not stay.filter((F.col("__n") > 1) & (F.col("__size") > 1)).isEmpty():
-        # Rows that repeat: one stays, but of empty texts all do.
-        alone = kept.filter("__size = 1")
-        kept = kept.filter("__size > 1").dropDuplicates(["__id", "__hash"]).unionByName(alone)
-    return kept.select(*[docs[f"`{c}`"] for c in docs.columns]) if len(set(docs.columns)) == len(docs.columns) else kept.drop("__text_hash", "__id", "__hash", "__size", "__n")
+    same = lambda x: d.doc_id.cast("long").eqNullSafe(x["__id"]) & (d["__text_hash"] == x["__hash"])
+    kept = d.join(_small(lost), same(lost), "left_anti")
+    if not again.isEmpty():
+        # The document that stays is there in several equal rows: one of them does.
+        again = stored(again, "again")
+        kept = kept.join(again, same(again), "left_anti").unionByName(d.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "__text_hash"]))
+    return kept.drop("__text_hash")
 
 
 def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
