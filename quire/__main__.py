@@ -19,11 +19,8 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    from quire.session import get_session
-    return get_session(master=None)
+    """The session of spark-submit, with the cluster's own settings."""
+    return SparkSession.builder.appName("quire").getOrCreate()
 
 
 def main(argv=None) -> None:

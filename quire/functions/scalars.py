@@ -21,9 +21,9 @@ PANDAS_NA_TOKENS = [
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 ]
-# Text cleanup limits: keep at most 15,000 characters; when the cleaned text
-# is shorter than 1,000 characters although the raw text was longer than
-# 3,000, the raw text is kept instead (failsafe).
+# Text cleanup limits a caller may ask for (the default keeps the whole cleaned
+# text): at most 15,000 characters; the raw text instead of a cleaned one below
+# 1,000 characters when the raw one was longer than 3,000.
 CLEAN_MAX_CHARS = 15000
 CLEAN_MIN_CHARS = 1000
 CLEAN_RAW_THRESHOLD = 3000
@@ -163,18 +163,18 @@ def ratio_pct(num, den, digits: int = 2) -> Column:
 
 
 # --- F12 - F14 --------------------------------------------------------------
-def clean_text(c, max_chars: int = CLEAN_MAX_CHARS, min_chars: int = CLEAN_MIN_CHARS,
-               raw_threshold: int = CLEAN_RAW_THRESHOLD) -> Column:
-    """Collapse whitespace runs to one space and trim; if that leaves fewer
-    than ``min_chars`` characters of a raw text longer than ``raw_threshold``
-    keep the raw text; cut to ``max_chars`` characters either way."""
+def clean_text(c, max_chars: int | None = None, min_chars: int | None = None,
+               raw_threshold: int | None = None) -> Column:
+    """Collapse whitespace runs to one space and trim, over the whole text.
+    Only on request: keep the raw text where fewer than ``min_chars``
+    characters are left of one longer than ``raw_threshold``, and cut to
+    ``max_chars`` characters."""
     raw = _c(c)
-
-    def pick(cleaned: Column) -> Column:
-        too_aggressive = (F.length(cleaned) < min_chars) & (F.length(raw) > raw_threshold)
-        return F.substring(F.when(too_aggressive, raw).otherwise(cleaned), 1, max_chars)
-
-    return let(F.trim(F.regexp_replace(raw, _WS_RUN, " ")), pick)
+    cleaned = F.trim(F.regexp_replace(raw, _WS_RUN, " "))
+    if min_chars is not None and raw_threshold is not None:
+        cleaned = let(cleaned, lambda x: F.when(
+            (F.length(x) < min_chars) & (F.length(raw) > raw_threshold), raw).otherwise(x))
+    return cleaned if max_chars is None else F.substring(cleaned, 1, max_chars)
 
 
 def truncate(c, n: int) -> Column:

@@ -16,7 +16,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.functions.scalars import clean_text
 
@@ -92,33 +92,42 @@ class _TextCollector(HTMLParser):
             self.found[i].append(data)
 
 
-def extract_main_text(html: str | None, selectors=CONTENT_SELECTORS,
-                      min_chars: int = MIN_SELECTOR_CHARS) -> str | None:
+def main_text_and_source(html: str | None, selectors=CONTENT_SELECTORS,
+                         min_chars: int = MIN_SELECTOR_CHARS) -> tuple[str | None, str | None]:
     """T1 for one page: first selector text longer than ``min_chars`` after
-    stripping, else the body text ('' when there is no body)."""
+    stripping, else the body text ('' when there is no body); and which of
+    them it is (the selector, or 'body')."""
     if html is None:
-        return None
+        return None, None
     p = _TextCollector(selectors)
     p.feed(html)
     p.close()
     texts = ["".join(parts) if parts is not None else None for parts in p.found]
-    for t in texts[:-1]:
+    for sel, t in zip(selectors, texts[:-1]):
         if t and len(t.strip()) > min_chars:
-            return t
-    return texts[-1] or ""
+            return t, sel
+    return texts[-1] or "", "body"
+
+
+def extract_main_text(html: str | None, selectors=CONTENT_SELECTORS,
+                      min_chars: int = MIN_SELECTOR_CHARS) -> str | None:
+    return main_text_and_source(html, selectors, min_chars)[0]
 
 
-@F.pandas_udf(StringType())
-def main_text_udf(html: pd.Series) -> pd.Series:
-    return html.map(extract_main_text)
+@F.pandas_udf(StructType([StructField("raw_content", StringType()), StructField("content_source", StringType())]))
+def main_text_udf(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([main_text_and_source(h) for h in html],
+                        columns=["raw_content", "content_source"], dtype=object)
 
 
 def page_main_text(pages: DataFrame, html_col: str = "html",
                    key_cols=("page_id", "url")) -> DataFrame:
-    """T1 + T2: extracted and cleaned main text per page."""
+    """T1 + T2: extracted and cleaned main text per page, and the element it
+    comes from."""
     keys = [c for c in key_cols if c in pages.columns]
-    raw = pages.select(*keys, main_text_udf(F.col(html_col)).alias("raw_content"))
-    return raw.select(*keys, clean_text(F.col("raw_content")).alias("content"))
+    raw = pages.select(*keys, main_text_udf(F.col(html_col)).alias("main"))
+    return raw.select(*keys, clean_text(F.col("main.raw_content")).alias("content"),
+                      F.col("main.content_source").alias("content_source"))
 
 
 def length_gate(df: DataFrame, content_col: str = "content",
@@ -136,9 +145,10 @@ def length_gate(df: DataFrame, content_col: str = "content",
 
 
 def render_template(template: str, content: Column,
-                    max_chars: int = PROMPT_CONTENT_CHARS) -> Column:
-    """``template.format(len_content=len(content), content=content[:max_chars])``
-    as one ``concat``; the template is parsed on the driver (it is a literal)."""
+                    max_chars: int | None = None) -> Column:
+    """``template.format(len_content=len(content), content=content)`` as one
+    ``concat`` (on request only the first ``max_chars`` characters); the
+    template is parsed on the driver (it is a literal)."""
     parts = []
     for literal, field, _spec, _conv in string.Formatter().parse(template):
         if literal:
@@ -148,7 +158,7 @@ def render_template(template: str, content: Column,
         if field == "len_content":
             parts.append(F.length(content).cast("string"))
         elif field == "content":
-            parts.append(F.substring(content, 1, max_chars))
+            parts.append(content if max_chars is None else F.substring(content, 1, max_chars))
         else:
             raise KeyError(field)
     return F.concat(*parts) if parts else F.lit("")
@@ -156,12 +166,22 @@ def render_template(template: str, content: Column,
 
 def prompt_messages(df: DataFrame, content_col: str = "content",
                     system_prompt: str = DEFAULT_SYSTEM_PROMPT,
-                    user_template: str = DEFAULT_USER_TEMPLATE) -> Column:
-    """T4: the [system, user] message list as array<struct<role, content>>."""
-    user = render_template(user_template, F.col(content_col))
-    return F.array(
-        F.struct(F.lit("system").alias("role"), F.lit(system_prompt).alias("content")),
-        F.struct(F.lit("user").alias("role"), user.alias("content")))
+                    user_template: str = DEFAULT_USER_TEMPLATE,
+                    max_chars: int | None = PROMPT_CONTENT_CHARS) -> Column:
+    """T4: the [system, user, ...] message list as array<struct<role, content>>.
+    A text of more than ``max_chars`` characters goes on in further user
+    messages, so every character arrives."""
+    content = F.col(content_col)
+    message = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+    first = F.array(message("system", F.lit(system_prompt)),
+                    message("user", render_template(user_template, content, max_chars)))
+    if max_chars is None:
+        return first
+    parts = F.ceil(F.length(content) / F.lit(max_chars)).cast("int")
+    rest = F.when(parts > 1, F.transform(
+        F.sequence(F.lit(1), F.greatest(parts - 1, F.lit(1))),
+        lambda k: message("user", F.substring(content, k * max_chars + 1, F.lit(max_chars)))))
+    return F.concat(first, F.coalesce(rest, F.slice(first, 1, 0)))
 
 
 def enrich(df: DataFrame, scorer: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],

@@ -55,7 +55,7 @@ def dim_loaded(spark, sf, now=None):
 
 # --- queries ---------------------------------------------------------------
 def q_url_slug(spark, sf):
-    p = td.table(spark, sf, "pages", cpu_bound=False)     # light per-row work, html not read
+    p = td.table(spark, sf, "pages")     # light per-row work, html not read
     return p.select("page_id", "url", S.url_slug(F.col("url")).alias("article_id"))
 
 
@@ -115,7 +115,7 @@ def q_feed_staging(spark, sf):
 
 
 def q_dedupe_keep_last(spark, sf):
-    d = td.table(spark, sf, "documents", cpu_bound=False)   # shuffles on text right away
+    d = td.table(spark, sf, "documents")   # shuffles on text right away
     return stg.dedupe_keep_last(d, ["text"], "doc_id")
 
 
@@ -267,7 +267,7 @@ QUERIES = {
 # ---------------------------------------------------------------------------
 _FEED = f"""
 feed_stg AS (
-  SELECT source AS feed, doc_id AS id, substr(text, 1, 80) AS title,
+  SELECT source AS feed, doc_id AS id, split_part(text, chr(10), 1) AS title,
     '{{"language":"' || lang || '","type":"text/plain"}}' AS title_detail,
     text AS summary,
     '{{"language":"' || lang || '","type":"text/html"}}' AS summary_detail,

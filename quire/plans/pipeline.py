@@ -37,7 +37,6 @@ from quire.operators import ledger as led
 from quire.operators import staging as stg
 from quire.operators import validate as val
 from quire.operators.rules import GFG_RULES, MEDIUM_RULES, RuleSet
-from quire.sources.files import spread
 from quire.sources.tables import STAGING_WIDTH, Workspace, schema_of
 
 
@@ -140,9 +139,7 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     # 1. stage: ids follow input order (assigned at the scan, before any shuffle);
     # the id base comes from the run log, not from a scan of staging history
     id_base = _max_or(runs.filter(F.col("source_table") == table), "next_id", 0)
-    # (ids first, at the scan; then, for inputs of few files, spread the
-    # per-row staging and rule work over all task slots)
-    with_id = spread(raw.withColumn("_sid", F.lit(id_base) + F.monotonically_increasing_id()))
+    with_id = raw.withColumn("_sid", F.lit(id_base) + F.monotonically_increasing_id())
     staged = profile.transform(with_id).withColumnRenamed("_sid", "id") \
         .withColumn("ingested_at", now_c).withColumn("run_id", F.lit(run_id))
     staged_obs = Observation(f"staged_{run_seq}")
@@ -178,9 +175,12 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     dim_version, dim_rows, dim_next_id, dim_base = None, 0, None, None
     if c["clean"] > 0:
         incoming = dim.latest_per_key(profile.to_dim(v.clean))
-        bad = dim.guard(incoming)
-        if not bad.isEmpty():
-            raise val.SchemaError("dim_articles", [tuple(r) for r in bad.limit(20).collect()])
+        # every failure is stored; the error names the table and the count
+        failures = f"{ws.root}/_guard/run_id={run_id}/{table}"
+        dim.guard(incoming).write.mode("overwrite").parquet(failures)
+        n_bad = spark.read.parquet(failures).count()
+        if n_bad:
+            raise val.SchemaError("dim_articles", [f"{n_bad} rows, stored in {failures}"])
         base, deltas = _dim_state(ws)
         existing = _dim_view(ws, base, deltas)
         if existing is not None:     # only the keys this batch touches
@@ -219,6 +219,8 @@ def reopen(ws: Workspace, keys: DataFrame, table: str, run_id: str, pk: str = "i
     """Put staging keys back in the queue for the next run (a semi-join
     of staging with the keys -- remediation is rare, so this is the one
     place that reads the whole staging table)."""
+    if not committed_runs(ws).filter(F.col("run_id") == run_id).isEmpty():
+        raise ValueError(f"run id {run_id!r} is committed already; a reopen needs one of its own")
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     seq = next_run_seq(ws)
     rows = led.reopen(keys, table, pk, seq, F.lit(now).cast("timestamp")) \

@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.indicators import CAPACITY, HELD, UNIT_NUMBER, UNIT_PER_100K
-from quire.sources.files import spread
 
 # Fixed values of the bindings (ours, not the reference's).
 OTHER_INDICATOR = "Persons held before trial"
@@ -32,22 +31,14 @@ ARTICLE_DAY0 = "2023-01-01"
 _SCHEMAS: dict[tuple[str, str], object] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, cpu_bound: bool = True) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table; its footer schema is read once per session and then
-    passed explicitly, so later reads start no schema-inference job.
-    ``cpu_bound``: the caller does per-row CPU work on a text table before
-    any shuffle (see ``spread``)."""
+    passed explicitly, so later reads start no schema-inference job."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
     if key not in _SCHEMAS:
         _SCHEMAS[key] = spark.read.parquet(path).schema
-    df = spark.read.schema(_SCHEMAS[key]).parquet(path)
-    return spread(df) if cpu_bound and name in TEXT_TABLES else df
-
-
-# Tables whose rows carry long texts: regex cleanup, JSON building, HTML
-# parsing and rule checks on them are CPU-bound per row.
-TEXT_TABLES = ("documents", "pages")
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +95,7 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         F.col("source").alias("feed"),
         F.col("doc_id").alias("pos"),
-        F.substring("text", 1, 80).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.struct(F.col("lang").alias("language"), F.lit("text/plain").alias("type")).alias("title_detail"),
         F.col("text").alias("summary"),
         F.struct(F.col("lang").alias("language"), F.lit("text/html").alias("type")).alias("summary_detail"),

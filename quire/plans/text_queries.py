@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions.scalars import (CLEAN_MAX_CHARS, CLEAN_MIN_CHARS, CLEAN_RAW_THRESHOLD,
-                                     clean_text)
+from quire.functions.scalars import clean_text
 from quire.operators import textprep as tp
 from quire.plans import testdata as td
 
@@ -32,17 +31,14 @@ def q_min_length_gate(spark, sf):
 
 
 def q_prompt_messages(spark, sf):
-    # Rejected rows get no message list and are dropped *after* the explode:
-    # a filter below it (an explicit one on ``accepted``, or the one Catalyst
-    # infers for a non-outer generator) would be pushed under the cleanup
-    # projection and evaluate the whitespace regex again for every reference.
+    # Rejected rows get no message list but stay, as turn -1 with the reason (outer generator).
     d = tp.length_gate(_cleaned_docs(spark, sf))
     msgs = tp.prompt_messages(d, "content", SYSTEM_PROMPT, USER_TEMPLATE)
-    m = d.select("doc_id", F.when(F.col("accepted"), msgs).alias("m"))
-    return m.select("doc_id", F.posexplode_outer("m").alias("turn", "msg")) \
-            .filter(F.col("turn").isNotNull()) \
-            .select("doc_id", "turn", F.col("msg.role").alias("role"),
-                    F.col("msg.content").alias("content"))
+    m = d.select("doc_id", "reject_reason", F.when(F.col("accepted"), msgs).alias("m"))
+    return m.select("doc_id", "reject_reason", F.posexplode_outer("m").alias("turn", "msg")) \
+            .select("doc_id", F.coalesce("turn", F.lit(-1)).alias("turn"),
+                    F.coalesce("msg.role", F.lit("rejected")).alias("role"),
+                    F.coalesce("msg.content", "reject_reason").alias("content"))
 
 
 QUERIES = {
@@ -60,8 +56,7 @@ cleaned AS (
   SELECT doc_id, text, trim(regexp_replace(text, '{_WS}', ' ', 'g')) AS c FROM documents),
 docs AS (
   SELECT doc_id,
-    CASE WHEN length(c) < {CLEAN_MIN_CHARS} AND length(text) > {CLEAN_RAW_THRESHOLD}
-         THEN substr(text, 1, {CLEAN_MAX_CHARS}) ELSE substr(c, 1, {CLEAN_MAX_CHARS}) END AS content
+    c AS content
   FROM cleaned)"""
 
 # Oracle for page_main_text.  SQL has no HTML parser; on these generated
@@ -95,17 +90,16 @@ txt AS (SELECT page_id, url, {_strip_html('art_html')} AS art, {_strip_html('bod
 picked AS (
   SELECT page_id, url,
     CASE WHEN length(regexp_replace(art, '^{_WS}|{_WS}$', '', 'g')) > {tp.MIN_SELECTOR_CHARS}
-         THEN art ELSE body END AS text
+         THEN art ELSE body END AS text,
+    CASE WHEN length(regexp_replace(art, '^{_WS}|{_WS}$', '', 'g')) > {tp.MIN_SELECTOR_CHARS}
+         THEN 'article' ELSE 'body' END AS content_source
   FROM txt),
-cleaned AS (SELECT page_id, url, text, trim(regexp_replace(text, '{_WS}', ' ', 'g')) AS c FROM picked)"""
+cleaned AS (SELECT page_id, url, content_source, trim(regexp_replace(text, '{_WS}', ' ', 'g')) AS c FROM picked)"""
 
 ORACLE = {
     "text_cleanup": f"WITH {_CLEAN} SELECT doc_id, content FROM docs",
     "page_main_text": f"""WITH {_PAGES}
-SELECT page_id, url,
-  CASE WHEN length(c) < {CLEAN_MIN_CHARS} AND length(text) > {CLEAN_RAW_THRESHOLD}
-       THEN substr(text, 1, {CLEAN_MAX_CHARS}) ELSE substr(c, 1, {CLEAN_MAX_CHARS}) END AS content
-FROM cleaned""",
+SELECT page_id, url, c AS content, content_source FROM cleaned""",
     "min_length_gate": f"""WITH {_CLEAN}
 SELECT doc_id, CAST(length(content) AS INTEGER) AS content_length,
        length(content) >= {tp.MIN_CONTENT_CHARS} AS accepted,
@@ -119,5 +113,12 @@ UNION ALL
 SELECT doc_id, 1 AS turn, 'user' AS role,
        'Article (' || CAST(length(content) AS VARCHAR) || ' characters):' || chr(10) || chr(10)
        || substr(content, 1, {tp.PROMPT_CONTENT_CHARS}) AS content
-FROM ok""",
+FROM ok
+UNION ALL
+SELECT doc_id, CAST(1 + k AS INTEGER), 'user', substr(content, k * {tp.PROMPT_CONTENT_CHARS} + 1, {tp.PROMPT_CONTENT_CHARS})
+FROM (SELECT *, unnest(range(1, (length(content) + {tp.PROMPT_CONTENT_CHARS} - 1) // {tp.PROMPT_CONTENT_CHARS})) AS k FROM ok)
+UNION ALL
+SELECT doc_id, -1, 'rejected',
+       'Content too short: ' || CAST(length(content) AS VARCHAR) || ' < {tp.MIN_CONTENT_CHARS}'
+FROM docs WHERE length(content) < {tp.MIN_CONTENT_CHARS}""",
 }

@@ -128,25 +128,6 @@ def feed_items_to_entries(items: DataFrame) -> DataFrame:
         tags.alias("tags"), authors.alias("authors"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every task slot for CPU-bound per-row work when the input has
-    fewer files than the cluster has slots (a single-row-group Parquet file
-    or a multi-line CSV file is read by one task).  The file count (a
-    driver-side listing) is the signal; inputs written by a distributed job
-    have many files, so no shuffle is added there."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= slots:
-        return df
-    # Catalyst pushes filters through a repartition, which would move the
-    # rule checks and regex extractions back into the single scan task.  A
-    # nondeterministic filter is neither pushed down nor merged with the
-    # filters above it, so ``rand(0) * 0 = 0`` (always true: no row is
-    # dropped; written so that the optimizer's rand-comparison folding does
-    # not remove it) right above the shuffle keeps later filters on the
-    # spread side.
-    return df.repartition(slots).filter(F.rand(0) * F.lit(0.0) == F.lit(0.0))
-
-
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once to ``path`` (a folder in the shared workspace) and
     read it back: later uses scan columnar Parquet instead of re-parsing the

@@ -88,7 +88,7 @@ class Workspace:
         """K4: remove every table of the workspace (opt-in, never implicit):
         the registered tables, the dimension store, open queues and run work
         folders."""
-        for name in [*SCHEMAS, "_work", *[f"queue_{t}" for t in STAGING_WIDTH]]:
+        for name in [*SCHEMAS, "_work", "_guard", "_checkpoints", *[f"queue_{t}" for t in STAGING_WIDTH]]:
             self.drop(name)
 
     # --- reads and writes ---------------------------------------------------

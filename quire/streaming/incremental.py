@@ -6,17 +6,22 @@ stream checkpoint replaces the processed flag for new input); each
 micro-batch runs the same staging / validation / quarantine / upsert /
 ledger steps as a batch run, with ``run_id`` = the batch id, so a batch
 replayed after a failure rewrites its own partitions (idempotent sink).
+
+The stream checkpoint lies in the workspace, one for each source and path, and
+goes with it on reset.  The run id names the checkpoint's query too, so batches
+counted anew by a fresh checkpoint are not taken for committed ones.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.plans import pipeline as pl
 from quire.sources import files as fs
 from quire.sources.tables import Workspace
-from quire.session import ensure_checkpoint_dir
 
 
 def _feed_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -52,23 +57,29 @@ def start(ws: Workspace, source: str, path: str, checkpoint: str | None = None,
     CSVs) landed under ``path``; returns the StreamingQuery."""
     spark = ws.spark
     profile = pl.PROFILES[source]
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire-{source}"
+    of_path = hashlib.sha256(path.encode()).hexdigest()[:16]
+    checkpoint = checkpoint or f"{ws.root}/_checkpoints/{source}/{of_path}"
     stream = _feed_stream(spark, path) if source == "medium" else _csv_stream(spark, path)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch = _with_pos(batch)
+        # the query's id is stored in the checkpoint and stays the same on restarts
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("the stream's query id is not set")
+        run_id = f"{source}-{query_id[:8]}-batch-{batch_id}"
         if source == "medium":
             # parse the batch's XML once: the rejected-file set and the items
             # both read this Parquet copy
             batch = fs.materialize(batch.drop("_metadata"),
-                                   f"{ws.root}/_work/run_id={source}-batch-{batch_id}/feed_items")
+                                   f"{ws.root}/_work/run_id={run_id}/feed_items")
             good, _bad = fs.reject_broken_files(batch)
             raw = fs.feed_items_to_entries(good)
         else:
             from quire.functions.scalars import na_to_null
             raw = batch.select(*[na_to_null(F.col(c)).alias(c) if not c.startswith("_") else F.col(c)
                                  for c in batch.columns])
-        pl.run_source(ws, profile, raw, f"{source}-batch-{batch_id}")
+        pl.run_source(ws, profile, raw, run_id)
 
     w = (stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))

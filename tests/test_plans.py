@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from quire.plans.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -12,7 +13,7 @@ def plan(spark, name: str) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"page_main_text"}))
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - {"page_main_text"}))
 def test_no_python_in_native_queries(spark, name):
     p = plan(spark, name)
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p

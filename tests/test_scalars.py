@@ -77,12 +77,19 @@ def test_round_half_even_matches_numpy(spark):
 
 
 def test_clean_text(spark):
-    raw = "a  b\n\n\n\nc\x1cd  "
+    raw = " a\t b\n\nc\u00a0d "
     assert one_col(spark, [raw], S.clean_text) == ["a b c d"]
-    spaces = "x" + " " * 3990 + "y"          # raw > 3000, cleaned < 1000 -> raw kept
-    assert one_col(spark, [spaces], S.clean_text) == [spaces]
+    spaces = "x" + " " * 4000 + "y"
+    assert one_col(spark, [spaces], S.clean_text) == ["x y"]
     long = "w" * 20000
-    assert one_col(spark, [long], S.clean_text) == ["w" * 15000]
+    assert one_col(spark, [long], S.clean_text) == [long]
+
+
+def test_clean_text_limits_on_request(spark):
+    limited = lambda c: S.clean_text(c, S.CLEAN_MAX_CHARS, S.CLEAN_MIN_CHARS, S.CLEAN_RAW_THRESHOLD)
+    spaces = "x" + " " * 4000 + "y"
+    assert one_col(spark, [spaces], limited) == [spaces]
+    assert one_col(spark, ["w" * 20000], limited) == ["w" * 15000]
 
 
 def test_na_tokens(spark):

@@ -63,15 +63,3 @@ def test_generic_ingest_aligns_and_replays(spark, tmp_dir):
     rows = ws.read("stg_gfg_articles").collect()
     assert len(rows) == 1 and rows[0].article_id == "s" and rows[0].ingested_at is not None
     assert preview(ws.read("stg_gfg_articles")).count() == 1
-
-
-def test_spread_only_for_inputs_with_few_files(spark, tmp_dir):
-    df = spark.range(0, 1000).repartition(16)
-    df.write.parquet(f"{tmp_dir}/many")
-    df.coalesce(1).write.parquet(f"{tmp_dir}/one")
-    many = fs.spread(spark.read.parquet(f"{tmp_dir}/many"))
-    one = fs.spread(spark.read.parquet(f"{tmp_dir}/one"))
-    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan(many)
-    assert "RoundRobinPartitioning" in plan(one)
-    assert one.count() == many.count() == 1000          # no row dropped

@@ -62,3 +62,11 @@ def test_enrich_plug_point(spark):
 
     out = {r.article_id: r.score for r in tp.enrich(df, scorer, "article_id string, score double").collect()}
     assert out == {"a": 8.0, "b": 15.0}
+
+
+def test_long_texts_go_on_in_further_user_messages(spark):
+    text = "".join(chr(97 + i % 26) for i in range(20_001))
+    df = spark.createDataFrame([(text,), ("short",), (None,)], "content string")
+    rows = df.select(tp.prompt_messages(df, "content", "sys", "{content}").alias("m")).collect()
+    assert [len(r.m) for r in rows] == [4, 2, 2]
+    assert "".join(m.content for m in rows[0].m[1:]) == text and {m.role for m in rows[0].m[1:]} == {"user"}
