@@ -63,6 +63,7 @@ def main(argv=None) -> None:
             if a.feeds:
                 entries, rejected = fs.read_feeds(
                     spark, a.feeds, work_dir=f"{ws.root}/_work/run_id={run_id}/feed_items")
+                pl.store_rejected(ws, rejected, run_id)
                 rejected.show(truncate=False)
                 pl.run_source(ws, pl.MEDIUM, entries, run_id).show(truncate=False)
     d = pl.current_dimension(ws)

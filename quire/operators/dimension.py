@@ -67,24 +67,32 @@ def duplicate_keys(rows: DataFrame) -> DataFrame:
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, now: Column | None = None,
-           id_base: int = 0) -> DataFrame:
+           id_base: int = 0, order: str | None = None) -> DataFrame:
     """Merge ``incoming`` (unique article_id) into ``existing``.
 
+    ``order`` names a column of both (the staging order within a platform);
+    it is kept, and a row that is older than the one it meets changes nothing.
+
     Matched keys take the incoming values, keep ``created_at`` and set
     ``updated_at`` = now; new keys get both timestamps = now and a fresh
     surrogate ``id`` (``id_base`` + a unique, non-contiguous number); keys
     not in the batch stay as they are.  One full outer join on article_id;
     with both sides partitioned on the key it is a co-located sort-merge."""
     now = now if now is not None else F.current_timestamp()
-    inc = incoming.select(*DIM_COLUMNS).withColumn("_in", F.lit(True))
+    kept = [order] if order else []
+    inc = incoming.select(*DIM_COLUMNS, *kept).withColumn("_in", F.lit(True))
     if existing is None:
         return inc.select(
             (F.lit(id_base) + F.monotonically_increasing_id()).alias("id"),
-            *DIM_COLUMNS, now.alias("created_at"), now.alias("updated_at"))
+            *DIM_COLUMNS, now.alias("created_at"), now.alias("updated_at"), *kept)
     e = existing.alias("e")
     i = inc.alias("i")
     j = e.join(i, F.col("e.article_id") == F.col("i.article_id"), "full_outer")
     hit = F.col("i._in").isNotNull()
+    if order:
+        older = ((F.col("i.source_platform") == F.col("e.source_platform"))
+                 & (F.col(f"i.{order}") < F.col(f"e.{order}")))
+        hit = hit & ~F.coalesce(older, F.lit(False))
     vals = [F.when(hit, F.col(f"i.{c}")).otherwise(F.col(f"e.{c}")).alias(c)
             for c in DIM_VALUE_COLUMNS]
     return j.select(
@@ -92,7 +100,8 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, now: Column | None =
         F.coalesce(F.col("e.article_id"), F.col("i.article_id")).alias("article_id"),
         *vals,
         F.coalesce(F.col("e.created_at"), now).alias("created_at"),
-        F.when(hit, now).otherwise(F.col("e.updated_at")).alias("updated_at"))
+        F.when(hit, now).otherwise(F.col("e.updated_at")).alias("updated_at"),
+        *[F.when(hit, F.col(f"i.{c}")).otherwise(F.col(f"e.{c}")).alias(c) for c in kept])
 
 
 def upsert_counts(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:

@@ -47,10 +47,14 @@ def _first_non_null(value: Column, cond: Column, pos: Column) -> Column:
     return F.min_by(F.when(keep, value), F.when(keep, pos))
 
 
-def _with_pos(df: DataFrame, pos: str | None) -> tuple[DataFrame, Column]:
+def _with_pos(df: DataFrame, pos: str | None, value: str = "VALUE") -> tuple[DataFrame, Column]:
+    """The input order "first" goes by: the column ``pos``, else the readers'
+    ``_source_file`` and ``_pos``.  Without either there is no first row; the
+    least value is taken, whatever the partitioning."""
     if pos is not None:
         return df, F.col(pos)
-    return df.withColumn("_pos", F.monotonically_increasing_id()), F.col("_pos")
+    order = [c for c in ("_source_file", "_pos") if c in df.columns]
+    return df, F.struct(*order) if "_pos" in order else F.col(value)
 
 
 def pivot_first(df: DataFrame, unit: str,
@@ -63,7 +67,7 @@ def pivot_first(df: DataFrame, unit: str,
     ignored), first non-null value by input position, groups without any
     value dropped."""
     columns = dict(columns or {HELD: "PRISONERS_NUM", CAPACITY: "CAPACITY_NUM"})
-    df, p = _with_pos(df.filter(F.col(unit_col) == F.lit(unit)), pos)
+    df, p = _with_pos(df.filter(F.col(unit_col) == F.lit(unit)), pos, value)
     df = df.filter(F.col(value).isNotNull() & F.col(pivot_col).isin(list(columns)))
     aggs = [_first_non_null(F.col(value), F.col(pivot_col) == F.lit(k), p).alias(v)
             for k, v in columns.items()]
@@ -134,13 +138,22 @@ def threshold_report(df: DataFrame, year: int, threshold: float = 100.0) -> Data
         F.count_distinct("geo").alias("n_total"))
 
 
+def extremes_report(df: DataFrame, year: int, n: int = 10) -> DataFrame:
+    """How many members the top-k report of ``year`` holds (those with a
+    value, n at most) and how many there are."""
+    y = df.filter(F.col("YEAR") == year)
+    valued = F.count_distinct(F.when(F.col("OCC_ABS").isNotNull(), F.col("geo")))
+    return y.agg(F.least(F.lit(n).cast("long"), valued).alias("n_extreme"),
+                 F.count_distinct("geo").alias("n_total"))
+
+
 def extremes(df: DataFrame, year: int, n: int = 10, direction: str = "top") -> DataFrame:
     """Q-C: "top" = the n smallest OCC_ABS in ``year``, "worst" = the n
     largest (the reference's code, not its docstring); ties keep the
     geo-ascending order.  Top-k is TakeOrderedAndProject (n rows per
     partition, then one merge), and its n keys are broadcast."""
     if direction not in ("top", "worst"):
-        raise ValueError('direction must be "worst" (highest OCC_ABS) or "top" (lowest OCC_ABS)')
+        raise ValueError(f"unknown direction {direction!r}: top takes the smallest values, worst the largest")
     y = df.filter((F.col("YEAR") == year) & F.col("OCC_ABS").isNotNull())
     order = F.col("OCC_ABS").desc() if direction == "worst" else F.col("OCC_ABS").asc()
     keys = y.orderBy(order, F.col("geo").asc()).limit(n).select("geo")

@@ -147,4 +147,4 @@ def rules_for(table: str) -> RuleSet:
     try:
         return RULE_SETS[table]
     except KeyError:
-        raise ValueError(f"No schema configuration for table: {table}") from None
+        raise ValueError(f"no rules are registered for {table!r}") from None

@@ -34,6 +34,14 @@ def q_pivot_first(spark, sf):
     return ind.pivot_first(obs_clean(spark, sf), ind.UNIT_NUMBER)
 
 
+def q_pivot_first_ordered(spark, sf):
+    return ind.pivot_first(ind.load_and_clean(td.order_observations(spark, sf)), ind.UNIT_NUMBER)
+
+
+def q_extremes_report(spark, sf):
+    return ind.extremes_report(occupancy(spark, sf), YEAR, TOP_N)
+
+
 def q_occupancy(spark, sf):
     return occupancy(spark, sf)
 
@@ -85,6 +93,8 @@ def q_bar_data(spark, sf):
 QUERIES = {
     "obs_clean": q_obs_clean,
     "pivot_first": q_pivot_first,
+    "pivot_first_ordered": q_pivot_first_ordered,
+    "extremes_report": q_extremes_report,
     "occupancy": q_occupancy,
     "occupancy_join": q_occupancy_join,
     "over_threshold": q_over_threshold,
@@ -177,6 +187,17 @@ SELECT geo, YEAR,
 FROM obs_clean WHERE unit = '{ind.UNIT_NUMBER}' AND VALUE IS NOT NULL
   AND indic_cr IN ('{ind.HELD}', '{ind.CAPACITY}')
 GROUP BY geo, YEAR"""),
+    "pivot_first_ordered": f"""
+SELECT n_name AS geo, CAST(year(o_orderdate) AS INTEGER) AS YEAR,
+  arg_min(CAST(o_totalprice AS DOUBLE), o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS PRISONERS_NUM,
+  arg_min(CAST(o_totalprice AS DOUBLE), o_orderkey) FILTER (WHERE o_orderstatus = 'O') AS CAPACITY_NUM
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE o_orderstatus IN ('F', 'O') AND o_totalprice IS NOT NULL AND year(o_orderdate) <= {ind.DEFAULT_MAX_YEAR}
+GROUP BY n_name, year(o_orderdate)""",
+    "extremes_report": _with(f"""
+SELECT CAST(least({TOP_N}, count(DISTINCT CASE WHEN OCC_ABS IS NOT NULL THEN geo END)) AS BIGINT) AS n_extreme,
+       count(DISTINCT geo) AS n_total
+FROM occ WHERE YEAR = {YEAR}"""),
     "occupancy": _with("SELECT * FROM occ"),
     "occupancy_join": _with("SELECT * FROM occ"),
     "over_threshold": _with(f"""

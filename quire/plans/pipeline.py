@@ -37,6 +37,7 @@ from quire.operators import ledger as led
 from quire.operators import staging as stg
 from quire.operators import validate as val
 from quire.operators.rules import GFG_RULES, MEDIUM_RULES, RuleSet
+from quire.sources.files import materialize
 from quire.sources.tables import STAGING_WIDTH, Workspace, schema_of
 
 
@@ -165,7 +166,7 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     # 4. quarantine first: a failure here stops the run before anything loads
     q = v.quarantine(STAGING_WIDTH[table]).withColumn("run_timestamp", now_c) \
                                           .withColumn("run_id", F.lit(run_id))
-    ws.write_run(q, "dq_quarantine")
+    ws.write_run(q, "dq_quarantine", source_table=table, run_id=run_id)
     staging_cols = [f.name for f in schema_of(table).fields]
     v.failed.select(*staging_cols).write.mode("overwrite").parquet(_queue_path(ws, table, run_seq))
 
@@ -174,7 +175,8 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     c = chk_obs.get
     dim_version, dim_rows, dim_next_id, dim_base = None, 0, None, None
     if c["clean"] > 0:
-        incoming = dim.latest_per_key(profile.to_dim(v.clean))
+        # written once: the guard, the key lookup and the upsert all read it
+        incoming = materialize(dim.latest_per_key(profile.to_dim(v.clean)), f"{work}_incoming")
         # every failure is stored; the error names the table and the count
         failures = f"{ws.root}/_guard/run_id={run_id}/{table}"
         dim.guard(incoming).write.mode("overwrite").parquet(failures)
@@ -186,7 +188,8 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
         if existing is not None:     # only the keys this batch touches
             existing = existing.join(incoming.select("article_id"), "article_id", "left_semi")
         id_base_dim = _max_or(runs, "dim_next_id", 0)
-        delta = dim.upsert(existing, incoming, now_c, id_base_dim)
+        # by staging order, so an older row that was reopened replaces no newer one
+        delta = dim.upsert(existing, incoming, now_c, id_base_dim, order="_src_pk")
         dim_obs = Observation(f"dim_{run_seq}")
         delta.withColumn("_seq", F.lit(run_seq).cast("long")) \
             .observe(dim_obs, F.count(F.lit(1)).alias("n"), F.max("id").alias("max_id")) \
@@ -202,7 +205,7 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     # 6. ledger, after the load succeeded
     marks = led.mark_processed(v.clean.select(profile.pk), table, profile.pk, run_seq, now_c) \
         .withColumn("run_id", F.lit(run_id))
-    ws.write_run(marks, "ledger")
+    ws.write_run(marks, "ledger", source_table=table, run_id=run_id)
 
     # 7. commit
     report = spark.createDataFrame(
@@ -214,6 +217,12 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     return report
 
 
+def store_rejected(ws: Workspace, rejected: DataFrame, run_id: str) -> None:
+    """The feed files that gave no rows in a run, with the reason."""
+    ws.write_run(rejected.withColumnRenamed("_source_file", "source_file")
+                 .withColumn("run_id", F.lit(run_id)), "rejected_files", run_id=run_id)
+
+
 def reopen(ws: Workspace, keys: DataFrame, table: str, run_id: str, pk: str = "id",
            now: dt.datetime | None = None) -> None:
     """Put staging keys back in the queue for the next run (a semi-join

@@ -70,6 +70,22 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("u.v").cast("string").alias("OBS_VALUE")))
 
 
+def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long observations with many rows to a cell: one for each order, its
+    price as the value and its key as the input position."""
+    orders = table(spark, sf_dir, "orders")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    indic = (F.when(F.col("o_orderstatus") == "F", F.lit(HELD))
+              .when(F.col("o_orderstatus") == "O", F.lit(CAPACITY))
+              .otherwise(F.lit(OTHER_INDICATOR)))
+    return (orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+                  .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+                  .select(F.col("n_name").alias("geo"), F.year("o_orderdate").cast("string").alias("TIME_PERIOD"),
+                          F.lit(UNIT_NUMBER).alias("unit"), indic.alias("indic_cr"),
+                          F.col("o_totalprice").cast("string").alias("OBS_VALUE"), F.col("o_orderkey").alias("_pos")))
+
+
 def article_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article-CSV rows: id (page_id), title (<title> text), author_id (first
     host label), last_updated ('dd MMM, yyyy' text), link (url), category

@@ -25,6 +25,13 @@ OCCUPANCY_SCHEMA = ("geo string, YEAR int, PRISONERS_NUM double, CAPACITY_NUM do
 FEED_ITEM_SCHEMA = ("title string, link string, guid struct<_VALUE:string,_isPermaLink:string>, "
                     "category array<string>, `dc:creator` string, pubDate string, "
                     "`atom:updated` string, description string, _corrupt_record string")
+# Atom entry layout (one row per <entry>).
+ATOM_ENTRY_SCHEMA = ("title string, link array<struct<_href:string,_rel:string>>, id string, "
+                     "category array<struct<_term:string>>, author array<struct<name:string>>, "
+                     "published string, updated string, summary string, content string, "
+                     "_corrupt_record string")
+# Root elements of RSS 2.0, RSS 1.0 and Atom, without a prefix.
+FEED_ROOTS = ("rss", "RDF", "feed")
 
 
 def _paths(paths) -> list[str]:
@@ -78,29 +85,71 @@ def read_occupancy(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return spark.read.parquet(path)
 
 
-def read_feed_items(spark: SparkSession, paths, row_tag: str = "item") -> DataFrame:
-    """S3 + S5: items of many landed feed files in one scan; ``feed`` is the
-    file name without extension."""
+def _records(spark: SparkSession, paths, row_tag: str, schema: str) -> DataFrame:
     df = (spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record")
-          .schema(FEED_ITEM_SCHEMA).load(_paths(paths)))
-    df = with_position(df)
-    return df.withColumn("feed", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1))
-
-
-def reject_broken_files(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A feed file with any unparsable record contributes no rows at all.
-    Returns (items of intact files, one row per rejected file).  The
-    rejected-file set has one row per file, so the anti-join stays small;
-    AQE broadcasts it when its measured size allows."""
+          .schema(schema).load(_paths(paths)))
+    return with_position(df).withColumn(
+        "feed", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1))
+
+
+def read_feed_items(spark: SparkSession, paths) -> DataFrame:
+    """S3 + S5: the RSS items and Atom entries of many landed feed files, in
+    the items' layout; ``feed`` is the file name without extension."""
+    rss = _records(spark, paths, "item", FEED_ITEM_SCHEMA)
+    atom = _records(spark, paths, "entry", ATOM_ENTRY_SCHEMA)
+    own = F.filter("link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    entries = atom.select(
+        "title", F.get(own, F.lit(0))["_href"].alias("link"),
+        F.struct(F.col("id").alias("_VALUE"), F.lit(None).cast("string").alias("_isPermaLink")).alias("guid"),
+        F.transform("category", lambda c: c["_term"]).alias("category"),
+        F.transform("author", lambda a: a["name"]).alias("creators"),
+        F.col("published").alias("pubDate"), F.col("updated").alias("atom:updated"),
+        F.coalesce("summary", "content").alias("description"),
+        "_corrupt_record", "_source_file", "_pos", "feed")
+    creators = F.when(F.col("`dc:creator`").isNotNull(), F.array("`dc:creator`"))
+    items = rss.withColumn("creators", creators).drop("dc:creator")
+    return items.unionByName(entries)
+
+
+def feed_files(spark: SparkSession, paths) -> DataFrame:
+    """One row for each landed file: its first element, the element that its
+    last line closes, and what is wrong with them (``fault``: NULL if nothing
+    is).  The lines are read in splits and aggregated before the shuffle.
+    Files of no bytes are in no Spark scan and so not listed."""
+    listed = spark.read.format("binaryFile").load(_paths(paths)).select(
+        F.col("_metadata.file_path").alias("_source_file"))
+    lines = with_position(spark.read.text(_paths(paths))).filter(F.col("value").rlike(r"\S"))
+    opens = F.nullif(F.regexp_extract("value", r"<([A-Za-z][\w:.-]*)", 1), F.lit(""))
+    closes = F.regexp_extract("value", r"</([A-Za-z][\w:.-]*)\s*>\s*(?:<!--.*-->\s*)?$", 1)
+    ends = lines.groupBy("_source_file").agg(
+        F.min_by(opens, F.when(opens.isNotNull(), F.col("_pos"))).alias("root"),
+        F.max_by(closes, F.col("_pos")).alias("closed"))
+    known = F.regexp_replace("root", r"^.*:", "").isin(*FEED_ROOTS)
+    return listed.join(ends, "_source_file", "left").withColumn(
+        "fault", F.when(F.col("root").isNull(), F.lit("no element"))
+        .when(~known, F.concat(F.lit("root element "), F.col("root")))
+        .when(F.col("closed") != F.col("root"), F.lit("root element not closed")))
+
+
+def rejected_files(items: DataFrame, files: DataFrame) -> DataFrame:
+    """One row for each file with a fault or with a record that can't be parsed."""
     # (a data column is referenced too: Spark refuses scans that read only
     # the corrupt-record column)
     touch = F.length(F.coalesce(F.col("title"), F.lit(""))) >= 0
-    bad = items.filter(F.col("_corrupt_record").isNotNull() & touch) \
-               .groupBy("_source_file").agg(F.count(F.lit(1)).alias("corrupt_records"))
-    good = items.join(bad.select("_source_file"), "_source_file", "left_anti") \
-                .drop("_corrupt_record")
-    return good, bad
+    corrupt = items.filter(F.col("_corrupt_record").isNotNull() & touch) \
+                   .groupBy("_source_file").agg(F.count(F.lit(1)).alias("corrupt_records"))
+    records = F.coalesce(F.col("corrupt_records"), F.lit(0))
+    reason = F.coalesce(F.col("fault"), F.when(records > 0, F.lit("records not parsed")))
+    return files.join(corrupt, "_source_file", "left").select(
+        "_source_file", reason.alias("reason"), records.alias("corrupt_records")).filter("reason IS NOT NULL")
+
+
+def intact(items: DataFrame, rejected: DataFrame) -> DataFrame:
+    """A rejected file contributes no rows at all.  ``rejected`` has one
+    row per file, so the anti-join stays small; AQE broadcasts it when its
+    measured size allows."""
+    return items.join(rejected.select("_source_file"), "_source_file", "left_anti").drop("_corrupt_record")
 
 
 def feed_items_to_entries(items: DataFrame) -> DataFrame:
@@ -108,8 +157,8 @@ def feed_items_to_entries(items: DataFrame) -> DataFrame:
     title/summary details as structs, tags and authors as arrays."""
     tags = F.when(F.size(F.col("category")) > 0,
                   F.transform(F.col("category"), lambda c: F.struct(c.alias("term"))))
-    authors = F.when(F.col("`dc:creator`").isNotNull(),
-                     F.array(F.struct(F.col("`dc:creator`").alias("name"))))
+    authors = F.when(F.size(F.col("creators")) > 0,
+                     F.transform(F.col("creators"), lambda c: F.struct(c.alias("name"))))
     return items.select(
         "feed", F.col("_pos").alias("pos"), "_source_file",
         F.col("title"),
@@ -137,11 +186,13 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def read_feeds(spark: SparkSession, paths, work_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(entries of intact feed files, rejected files).  With
-    ``work_dir`` the XML is parsed once into a Parquet copy there; without
-    it the rejected-file set and the items are two scans of the XML."""
-    items = read_feed_items(spark, paths)
+    """(entries of intact feed files, rejected files with the reason).
+    With ``work_dir`` the XML is parsed once into a Parquet copy there (and
+    the rejected files beside it); without it both are computed from the XML."""
+    items, files = read_feed_items(spark, paths), feed_files(spark, paths)
     if work_dir is not None:
         items = materialize(items, work_dir)
-    good, bad = reject_broken_files(items)
-    return feed_items_to_entries(good), bad
+        rejected = materialize(rejected_files(items, files), f"{work_dir.rstrip('/')}_rejected")
+    else:
+        rejected = rejected_files(items, files)
+    return feed_items_to_entries(intact(items, rejected)), rejected

@@ -26,25 +26,31 @@ SCHEMAS = {
                             "tags string, authors string, run_id string"),
     "dim_articles": ("id long, article_id string, source_platform string, title string, "
                      "author string, pub_date date, link string, category string, "
-                     "is_valid boolean, created_at timestamp, updated_at timestamp"),
+                     "is_valid boolean, created_at timestamp, updated_at timestamp, _src_pk long"),
     "dq_quarantine": ("run_timestamp timestamp, source_table string, pk_column_name string, "
                       "pk_value string, total_columns int, validation_error string, run_id string"),
     "ledger": LEDGER_SCHEMA + ", run_id string",
     "runs": ("run_id string, run_seq long, source_table string, at timestamp, staged long, "
              "pending long, clean long, quarantined long, dim_rows long, dim_version long, "
              "queue_version long, next_id long, dim_next_id long, dim_base long"),
+    "rejected_files": "source_file string, reason string, corrupt_records long, run_id string",
 }
-# Source columns of the staging tables (what ``total_columns`` counts in the
-# quarantine: the staging table's width without our run partition column).
-STAGING_WIDTH = {"stg_gfg_articles": 8, "stg_medium_articles": 13}
+# What ``total_columns`` says in the quarantine, the width of
+# the staging tables with their processed flag (kept in the ledger here).
+STAGING_WIDTH = {"stg_gfg_articles": 9, "stg_medium_articles": 14}
 
 
 def schema_of(name: str) -> StructType:
     if name not in SCHEMAS:
-        raise ValueError(f"Schema not found for table '{name}'")
+        raise ValueError(f"no table {name!r} is registered")
     return StructType.fromDDL(SCHEMAS[name])
 
 
+def _escaped(value: str) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^\x7f" or ord(c) < 32 else c for c in value)
+
+
 class Workspace:
     """Tables under ``root`` (a shared folder on a cluster)."""
 
@@ -100,15 +106,12 @@ class Workspace:
     def write(self, df: DataFrame, name: str, mode: str = "append",
               partition_by: list[str] | None = None) -> None:
         """K1: write with the registered column order and types.  Modes:
-        append, errorifexists ('fail'), overwrite ('replace'), and
+        append, errorifexists ('fail'), overwrite ('replace', and
+        'delete_rows': all rows go, the registered schema stays), and
         ``overwrite_partitions`` (dynamic: only the partitions present in
         ``df`` are replaced)."""
-        cols = [f.name for f in schema_of(name).fields]
-        missing = [c for c in cols if c not in df.columns]
-        if missing:
-            raise ValueError(f"{name}: missing columns {missing}")
-        out = df.select(*[F.col(c).cast(schema_of(name)[c].dataType) for c in cols])
-        mode = {"fail": "errorifexists", "replace": "overwrite"}.get(mode, mode)
+        out = self._aligned(df, name)
+        mode = {"fail": "errorifexists", "replace": "overwrite", "delete_rows": "overwrite"}.get(mode, mode)
         w = out.write
         if mode == "overwrite_partitions":
             w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -118,12 +121,23 @@ class Workspace:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(name))
 
-    def write_run(self, df: DataFrame, name: str) -> None:
+    def _aligned(self, df: DataFrame, name: str) -> DataFrame:
+        schema = schema_of(name)
+        missing = [c for c in schema.names if c not in df.columns]
+        if missing:
+            raise ValueError(f"{name}: missing columns {missing}")
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+    def write_run(self, df: DataFrame, name: str, **partition: str) -> None:
         """Idempotent per run: replaces the ``run_id`` partition(s) in ``df``
         (per source table where the table is shared by sources, so two
-        sources loaded under one run id never replace each other's rows)."""
+        sources loaded under one run id never replace each other's rows).
+        With the partition's values given it is replaced by an empty ``df`` too."""
         keys = ["source_table", "run_id"] if "source_table" in schema_of(name).names else ["run_id"]
-        self.write(df, name, "overwrite_partitions", keys)
+        if not partition:
+            return self.write(df, name, "overwrite_partitions", keys)
+        folder = "/".join(f"{k}={_escaped(partition[k])}" for k in keys)
+        self._aligned(df, name).drop(*keys).write.mode("overwrite").parquet(f"{self.path(name)}/{folder}")
 
     def sql(self, statement: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:
         """Parameterised SQL over workspace tables (``{name}`` refers to
@@ -169,6 +183,9 @@ def with_defaults(df: DataFrame, now: Column | None = None, **flags) -> DataFram
     return df
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K5: CSV result with a header (one directory of part files)."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sort_by: tuple[str, ...] = ()) -> None:
+    """K5: CSV result with a header (one directory of part files).  With
+    ``sort_by`` the rows are in order within and across the files (O1)."""
+    if sort_by:
+        df = df.orderBy(*sort_by)
     df.write.mode(mode).option("header", True).csv(path)

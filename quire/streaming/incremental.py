@@ -24,12 +24,16 @@ from quire.sources import files as fs
 from quire.sources.tables import Workspace
 
 
-def _feed_stream(spark: SparkSession, path: str) -> DataFrame:
-    items = (spark.readStream.format("xml").option("rowTag", "item")
-             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-             .schema(fs.FEED_ITEM_SCHEMA).load(path))
-    return _file_columns(items).withColumn(
-        "feed", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1))
+#: Feed files of a micro-batch at most; their names pass through the driver.
+FILES_PER_BATCH = 10_000
+
+
+def _landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """The paths of newly landed files; their content is not read here, so
+    files without any item are seen (and rejected) too."""
+    return (spark.readStream.format("binaryFile")
+            .schema("path string, modificationTime timestamp, length long, content binary")
+            .option("maxFilesPerTrigger", FILES_PER_BATCH).load(path).select("path"))
 
 
 def _file_columns(df: DataFrame) -> DataFrame:
@@ -59,24 +63,21 @@ def start(ws: Workspace, source: str, path: str, checkpoint: str | None = None,
     profile = pl.PROFILES[source]
     of_path = hashlib.sha256(path.encode()).hexdigest()[:16]
     checkpoint = checkpoint or f"{ws.root}/_checkpoints/{source}/{of_path}"
-    stream = _feed_stream(spark, path) if source == "medium" else _csv_stream(spark, path)
+    stream = _landed_files(spark, path) if source == "medium" else _csv_stream(spark, path)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = _with_pos(batch)
         # the query's id is stored in the checkpoint and stays the same on restarts
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not query_id:
             raise RuntimeError("the stream's query id is not set")
         run_id = f"{source}-{query_id[:8]}-batch-{batch_id}"
         if source == "medium":
-            # parse the batch's XML once: the rejected-file set and the items
-            # both read this Parquet copy
-            batch = fs.materialize(batch.drop("_metadata"),
-                                   f"{ws.root}/_work/run_id={run_id}/feed_items")
-            good, _bad = fs.reject_broken_files(batch)
-            raw = fs.feed_items_to_entries(good)
+            paths = [r.path for r in batch.collect()]     # at most FILES_PER_BATCH
+            raw, rejected = fs.read_feeds(spark, paths, f"{ws.root}/_work/run_id={run_id}/feed_items")
+            pl.store_rejected(ws, rejected, run_id)
         else:
             from quire.functions.scalars import na_to_null
+            batch = _with_pos(batch)
             raw = batch.select(*[na_to_null(F.col(c)).alias(c) if not c.startswith("_") else F.col(c)
                                  for c in batch.columns])
         pl.run_source(ws, profile, raw, run_id)

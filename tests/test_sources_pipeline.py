@@ -124,3 +124,73 @@ def test_command_line_run_and_stats(spark, tmp_dir, capsys):
     assert "Failed columns: tags, authors" in out and "gfg_count" in out
     runs = Workspace(spark, ws_dir).read("runs").filter("run_id = 'cli'").count()
     assert runs == 2
+
+
+ATOM = """<?xml version="1.0" encoding="UTF-8"?>
+<feed xmlns="http://www.w3.org/2005/Atom"><title>t</title>
+<entry><title type="text">Atom article here</title><link rel="self" href="https://ex.org/self"/><link href="https://ex.org/t1/"/><id>tag:t1</id><author><name>Ann</name></author><author><name>Bob</name></author><category term="data"/><published>2026-01-23T10:00:00Z</published><updated>2026-01-24T10:00:00Z</updated><summary>Hello</summary></entry>
+<entry><title>No author</title><link rel="alternate" href="https://ex.org/t2/"/><id>tag:t2</id><updated>2026-01-24T10:00:00Z</updated><content type="html">Body</content></entry>
+</feed>
+"""
+UNCLOSED = FEED.replace("</channel></rss>", "")
+HTML = "<!DOCTYPE html>\n<html><body><p>502 Bad Gateway</p></body></html>\n"
+
+
+def land_mixed(path):
+    os.makedirs(path)
+    for name, text in (("rss", FEED), ("atom", ATOM), ("unclosed", UNCLOSED), ("error", HTML), ("blank", "\n \n"), ("broken", BROKEN)):
+        with open(f"{path}/{name}.xml", "w") as f:
+            f.write(text)
+
+
+REASONS = {"unclosed.xml": "root element not closed", "error.xml": "root element html",
+           "blank.xml": "no element", "broken.xml": "records not parsed"}
+
+
+def test_atom_entries_and_malformed_files(spark, tmp_dir):
+    land_mixed(f"{tmp_dir}/feeds")
+    for work in (None, f"{tmp_dir}/work/items"):
+        entries, rejected = fs.read_feeds(spark, f"{tmp_dir}/feeds", work_dir=work)
+        rows = {r.id: r for r in entries.collect()}
+        assert {r.feed for r in rows.values()} == {"rss", "atom"} and entries.count() == 5
+        a, b = rows["tag:t1"], rows["tag:t2"]
+        assert (a.title, a.link, a.published, a.summary) == ("Atom article here", "https://ex.org/t1/", "2026-01-23T10:00:00Z", "Hello")
+        assert [x.name for x in a.authors] == ["Ann", "Bob"] and [t.term for t in a.tags] == ["data"]
+        assert (b.link, b.summary, b.authors, b.tags) == ("https://ex.org/t2/", "Body", None, None)
+        assert {os.path.basename(r._source_file): r.reason for r in rejected.collect()} == REASONS
+
+
+def test_older_reopened_row_replaces_no_newer_one(spark, tmp_dir):
+    land(tmp_dir)
+    ws = Workspace(spark, f"{tmp_dir}/ws")
+    entries, _ = fs.read_feeds(spark, f"{tmp_dir}/feeds")
+    pl.run_source(ws, pl.MEDIUM, entries, "r1")
+    pl.run_source(ws, pl.MEDIUM, entries.withColumn("title", F.concat("title", F.lit(" v2"))), "r2")
+    first = ws.read("ledger").filter("state = 'processed' AND run_id = 'r1'").select(F.col("pk_value").cast("long").alias("id"))
+    pl.reopen(ws, first, "stg_medium_articles", "fix1")
+    pl.run_source(ws, pl.MEDIUM, entries.limit(0), "r3")
+    assert [r.title for r in pl.current_dimension(ws).collect()] == ["First article again v2"]
+
+
+def test_empty_retry_replaces_the_partition(spark, tmp_dir):
+    ws = Workspace(spark, f"{tmp_dir}/ws")
+    rows = spark.createDataFrame([("f.xml", "no element", 0, "r:1"), ("g.xml", "no element", 0, "r2")],
+                                 "source_file string, reason string, corrupt_records long, run_id string")
+    ws.write_run(rows, "rejected_files")
+    ws.write_run(rows.limit(0), "rejected_files", run_id="r:1")
+    assert [r.source_file for r in ws.read("rejected_files").collect()] == ["g.xml"]
+    ws.write(rows, "rejected_files", "delete_rows")
+    assert ws.read("rejected_files").count() == 2
+
+
+def test_first_goes_by_file_and_position(spark, tmp_dir):
+    from quire.operators import indicators as ind
+    os.makedirs(f"{tmp_dir}/obs")
+    head = "geo,TIME_PERIOD,unit,indic_cr,OBS_VALUE\n"
+    row = "Aland,2020,{},{},{}\n"
+    with open(f"{tmp_dir}/obs/a.csv", "w") as f:
+        f.write(head + row.format(ind.UNIT_NUMBER, ind.HELD, "") + row.format(ind.UNIT_NUMBER, ind.HELD, 5))
+    with open(f"{tmp_dir}/obs/b.csv", "w") as f:
+        f.write(head + row.format(ind.UNIT_NUMBER, ind.HELD, 1) * 50)
+    df = ind.load_and_clean(fs.read_observations_csv(spark, f"{tmp_dir}/obs"))
+    assert ind.pivot_first(df, ind.UNIT_NUMBER).first().PRISONERS_NUM == 5.0

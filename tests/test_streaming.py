@@ -93,3 +93,13 @@ def test_reopen_refuses_a_committed_run_id(spark, tmp_dir):
     with pytest.raises(ValueError):
         pl.reopen(ws, ws.read(used.source_table).select("id"), used.source_table, used.run_id)
     assert _articles(ws) == before and ws.read("runs").count() == 1
+
+
+def test_stream_stores_rejected_files(spark, tmp_dir):
+    import os.path
+    from test_sources_pipeline import REASONS, land_mixed
+    land_mixed(f"{tmp_dir}/landing")
+    ws = Workspace(spark, f"{tmp_dir}/ws")
+    inc.run_available(ws, "medium", f"{tmp_dir}/landing")
+    got = {os.path.basename(r.source_file): r.reason for r in ws.read("rejected_files").collect()}
+    assert got == REASONS
