@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time (one longer text is handled alone).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -78,6 +78,8 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CH
             to = max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1)
             yield batch.slice(row, to - row)
             row = to
+        # The worker lives on for other stages: unused memory goes back.
+        pa.default_memory_pool().release_unused()
 
 
 def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
