@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pretokens
+from .work import mapped
 
 #: The template's marks and the role that is learned from.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
@@ -119,7 +120,7 @@ def formatted(rows: DataFrame, vocabulary: str) -> DataFrame:
                     ids, texts, spans, n = [], [], [], 0
             if ids:
                 yield encode(ids, texts, spans)
-    return conversations(rows).mapInArrow(each, "conv_id long, formatted string, ids array<int>, starts array<int>, ends array<int>, loss array<tinyint>")
+    return mapped(conversations(rows), each, "conv_id long, formatted string, ids array<int>, starts array<int>, ends array<int>, loss array<tinyint>")
 
 
 def learned_texts(text: str, starts: np.ndarray, ends: np.ndarray, loss: np.ndarray) -> list[str]:
@@ -151,8 +152,9 @@ def digests(out: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    return out.select("conv_id", "formatted", "starts", "ends", "loss").mapInArrow(
-        each, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return mapped(
+        out.select("conv_id", "formatted", "starts", "ends", "loss"), each,
+        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def op3_chat_format(spark, sf_dir: str) -> DataFrame:

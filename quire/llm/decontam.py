@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .work import stored
+from .work import mapped, stored
 
 #: Words of a window.
 WINDOW = 10
@@ -89,7 +89,7 @@ def build_index(docs: DataFrame, terms: np.ndarray | None = None) -> DataFrame:
                  row(b.column("doc_id"), pa.int64()), row(base.astype(np.int32), pa.int32()), row(n.astype(np.int32), pa.int32())],
                 ["block", "terms", "counts", "positions", "doc_id", "base", "n_words"])
             block += 1
-    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(post, INDEX), "postings")
+    return stored(mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), post, INDEX), "postings")
 
 
 def frequencies(index: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def search(index: DataFrame, wanted: DataFrame, df: DataFrame, slop: int | None
     out = None
     for g in range(groups):
         mine = ranked.filter(F.pmod(F.xxhash64("terms"), F.lit(groups)) == g) if groups > 1 else ranked
-        hits = index.mapInArrow(_searcher(spark, mine.toArrow(), slop), HITS)
+        hits = mapped(index, _searcher(spark, mine.toArrow(), slop), HITS)
         out = hits if out is None else out.unionByName(hits)
     if groups > 1:
         out = (out.groupBy("block", "row").agg(

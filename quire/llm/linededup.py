@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .words import chunks
-from .work import stored
+from .work import mapped, stored
 
 #: Least code points of a key, least documents that hold it, white space.
 LEAST_LENGTH = 40
@@ -106,7 +106,7 @@ def repeats_filter(docs: DataFrame, bits: int, least: int = LEAST_LENGTH) -> np.
 
     # Few tasks, so that there are few filters to merge.
     tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
-    partial = docs.select("text").coalesce(tasks).mapInArrow(note, "piece int, once binary, twice binary")
+    partial = mapped(docs.select("text").coalesce(tasks), note, "piece int, once binary, twice binary")
     out = np.zeros(bits // 8, np.uint8)
     for r in partial.groupBy("piece").applyInPandas(merge, "piece int, twice binary").toLocalIterator():
         at = r.piece * PIECE_BITS // 8
@@ -133,7 +133,7 @@ def suspects(docs: DataFrame, bits: int, least: int = LEAST_LENGTH) -> DataFrame
             raw = keys[may].tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()), b.column("doc_id").take(pa.array(row[may]))], ["key", "doc_id"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(pick, "key binary, doc_id long")
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), pick, "key binary, doc_id long")
 
 
 def dedup(docs: DataFrame, least_docs: int = LEAST_DOCS, least_length: int = LEAST_LENGTH, max_keys: int = MAX_KEYS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -175,7 +175,7 @@ def dedup(docs: DataFrame, least_docs: int = LEAST_DOCS, least_length: int = LEA
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.binary()).cast(pa.utf8())],
                 ["doc_id", "n_lines", "n_dropped", "text"])
-    return given.mapInArrow(strip, "doc_id long, n_lines long, n_dropped long, text string")
+    return mapped(given, strip, "doc_id long, n_lines long, n_dropped long, text string")
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:

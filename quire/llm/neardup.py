@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .work import stored
+from .work import mapped, stored
 
 #: Words of a shingle, least similarity, bands and components of a band: at a
 #: similarity of 0.8 a pair shares no bucket once in 30,000 times.
@@ -142,7 +142,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 [b.column("doc_id"), b.column("text_hash"), pa.array(nodes, pa.int64(), mask=empty), pa.array(total, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)], pa.int32()), pa.array(bands.ravel()))],
                 ["doc_id", "text_hash", "node", "n", "bands"])
-    return with_hash(docs).mapInArrow(sign, "doc_id long, text_hash long, node long, n long, bands array<long>")
+    return mapped(with_hash(docs), sign, "doc_id long, text_hash long, node long, n long, bands array<long>")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
             order = np.argsort(row, kind="stable")
             at = np.searchsorted(row[order], np.arange(b.num_rows + 1))
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(s[order]))], ["node", "s"])
-    return texts.select("node", "text").mapInArrow(take, "node long, s array<long>")
+    return mapped(texts.select("node", "text"), take, "node long, s array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:

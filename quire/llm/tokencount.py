@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from . import pretokens
 from .words import chunks, segment_hashes, utf8
+from .work import mapped
 
 #: Tokens beyond which a document is over the limit.
 LIMIT = 2048
@@ -64,8 +65,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(np.diff(utf8(b.column("text"))[1]), pa.int64()), pa.array(n, pa.int64()), pa.array(n > limit, pa.bool_())],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        each, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return mapped(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), each,
+        "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op8_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import pretokens
-from .work import new_path, stored
+from .work import mapped, new_path, stored
 
 #: Fixed value: the id that ends each document.
 END = 2
@@ -67,7 +67,7 @@ def _sample(docs: DataFrame, content, kind: str) -> list[bytes]:
         for _, tokens, at in pretokens.encoded(batches, content.value, kind):
             yield pa.RecordBatch.from_arrays([pa.array(
                 [serialised(tokens[a:b])[:SAMPLE_BYTES] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["ids"])
-    rows = docs.filter(F.col("doc_id").isin([i for i in ids if i is not None])).mapInArrow(take, "ids binary")
+    rows = mapped(docs.filter(F.col("doc_id").isin([i for i in ids if i is not None])), take, "ids binary")
     return sorted(bytes(r.ids) for r in rows.limit(4 * SAMPLE_DOCS).collect())
 
 
@@ -115,9 +115,9 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str) -> None:
         if ids:
             yield block()
 
-    frames = stored(docs.mapInArrow(encode, "doc_id long, n_tokens long, crc long, frame binary"), "frames")
-    (frames.repartitionByRange("doc_id", "crc").sortWithinPartitions("doc_id", "crc")
-     .select("doc_id", "n_tokens", "frame").mapInArrow(pack, BLOCKS).write.parquet(f"{folder}/blocks"))
+    frames = stored(mapped(docs, encode, "doc_id long, n_tokens long, crc long, frame binary"), "frames")
+    frames = frames.repartitionByRange("doc_id", "crc").sortWithinPartitions("doc_id", "crc")
+    mapped(frames.select("doc_id", "n_tokens", "frame"), pack, BLOCKS).write.parquet(f"{folder}/blocks")
 
 
 def _dictionary(spark: SparkSession, folder: str):
@@ -158,7 +158,7 @@ def read_tokens(spark: SparkSession, folder: str, doc_ids: list[int] | None = No
                 yield pa.RecordBatch.from_arrays(cols, names)
     names = ["part", "seq", "doc_id", "local", "n_tokens", "ids_crc32", *["ids"] * with_ids]
     schema = "part int, seq long, doc_id long, local long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return blocks.select("part", "seq", "dictionary", "doc_ids", "sizes", "offsets", "frames").mapInArrow(unpack, schema)
+    return mapped(blocks.select("part", "seq", "dictionary", "doc_ids", "sizes", "offsets", "frames"), unpack, schema)
 
 
 def starts(spark: SparkSession, folder: str) -> DataFrame:

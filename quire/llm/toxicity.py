@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .words import chunks
+from .work import mapped
 
 #: Labelled documents that are learned from, at most.
 SAMPLE = 12_000
@@ -129,7 +130,7 @@ def _counts(sample: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(terms, pa.string()), pa.array([both[1][t] for t in terms], pa.int64()), pa.array([both[0][t] for t in terms], pa.int64())],
                 ["term", "toxic", "clean"])
-    each = sample.mapInArrow(count, "term string, toxic long, clean long")
+    each = mapped(sample, count, "term string, toxic long, clean long")
     return each.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -183,7 +184,7 @@ def _sample_features(sample: DataFrame, lexicon: Lexicon) -> DataFrame:
             x = [features(t or "", a) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v[0] for v in x], pa.float64()), pa.array([v[1] for v in x], pa.float64()), b.column("toxic").cast(pa.float64())], ["x0", "x1", "y"])
-    return sample.mapInArrow(each, "x0 double, x1 double, y double")
+    return mapped(sample, each, "x0 double, x1 double, y double")
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 25) -> tuple:
@@ -209,7 +210,7 @@ def score(docs: DataFrame, lexicon: Lexicon, into: str = "toxicity") -> DataFram
             s = [1 / (1 + math.exp(-max(-60.0, min(60.0, c0 + c1 * u + c2 * v)))) for u, v in x]
             yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in fields), pa.array(s, pa.float64())], [*(f.name for f in fields), into])
     from pyspark.sql import types as T
-    return docs.select(*[docs[f"`{f.name}`"] for f in fields]).mapInArrow(each, T.StructType([*fields, T.StructField(into, T.DoubleType())]))
+    return mapped(docs.select(*[docs[f"`{f.name}`"] for f in fields]), each, T.StructType([*fields, T.StructField(into, T.DoubleType())]))
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:

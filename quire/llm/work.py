@@ -10,6 +10,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows in a batch for a Python worker (one longer row is a batch alone).
+BATCH_BYTES = 2 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.  Only where the session
@@ -30,3 +33,13 @@ def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mapped(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes, not by rows alone, so what
+    an executor and its workers hold does not grow with the texts' lengths.
+    A limit that the session has set stays."""
+    conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if limit not in conf.getAll:
+        conf.set(limit, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
