@@ -181,6 +181,21 @@ def components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def joined(found: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """(node, component) with further edges (u, v): only the components that
+    they connect are contracted again."""
+    if found is None:
+        return stored(components(edges), "components")
+    if edges.isEmpty():
+        return found
+    of = lambda n: found.select(F.col("node").alias(n), F.col("component").alias(f"of_{n}"))
+    ends = edges.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("of_u", "u").alias("u"), F.coalesce("of_v", "v").alias("v"))
+    upper = stored(components(ends), "upper")
+    raised = found.join(upper.select(F.col("node").alias("component"), F.col("component").alias("upper")), "component", "left")
+    return stored(raised.select("node", F.coalesce("upper", "component").alias("component"))
+                  .unionByName(upper.join(found, "node", "left_anti")), "components")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The pairs (u, v) whose multisets overlap enough."""
     a, b = sets.select(F.col("node").alias("u"), F.col("s").alias("su")), sets.select(F.col("node").alias("v"), F.col("s").alias("sv"))
@@ -232,9 +247,9 @@ def _split(buckets: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame
 
 
 def links(rows: DataFrame, sets: DataFrame, least: float = SIMILARITY, rounds: int = LEADER_ROUNDS) -> DataFrame:
-    """The edges (u, v) that connect all similar nodes which share a bucket.
-    rows: bucket, node, n, degree."""
-    edges, rest = None, None
+    """(node, component) of all nodes that are similar to one with which they
+    share a bucket.  rows: bucket, node, n, degree."""
+    found, rest = None, None
     rows = rows.withColumn("component", F.col("node"))
     for k in range(rounds + 1):
         leader = rows.groupBy("bucket").agg(F.max(F.struct("degree", "node", "n", "component")).alias("x"), F.count(F.lit(1)).alias("k")).select(
@@ -250,10 +265,9 @@ def links(rows: DataFrame, sets: DataFrame, least: float = SIMILARITY, rounds: i
         pairs = pairs.filter(_fit("n", "m", least)).select(F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v"))
         pairs = pairs if rest is None else pairs.unionByName(rest)
         new = stored(verified(pairs.distinct(), sets, least), "links")
-        edges = new if edges is None else edges.unionByName(new)
+        found = joined(found, new)
         if k == rounds:
             break
-        found = stored(components(edges), "components")
         now = rows.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         # Open: more than the leader and another, in more than one component.
         open_ = now.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("bucket")
@@ -262,7 +276,7 @@ def links(rows: DataFrame, sets: DataFrame, least: float = SIMILARITY, rounds: i
             break
         rows, rest = _split(now, sets, least)
         rows, rest = stored(rows, "rows"), stored(rest, "rest")
-    return edges
+    return found
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -283,7 +297,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     if not rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():
         sets = sets.groupBy("node").agg(F.first("s").alias("s"))  # rows that repeat
     sets = stored(sets, "shingles")
-    found = components(links(buckets, sets, least))
+    found = links(buckets, sets, least)
     of = nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "rep", "copies")
     whole = of.groupBy("component").agg(F.min("rep").alias("rep"), F.sum("copies").alias("size"))
     of = of.select("node", "component").join(whole, "component").select(F.col("node").alias("of"), "rep", "size")
