@@ -219,8 +219,9 @@ def _split(buckets: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame
     nodes either share a shingle outside the leader, and meet in the smaller
     bucket of that shingle, or each is small enough for the other's i.
 
-    A node of n shingles shares least * n with any that is similar, so at
-    least t = least * n - i of them outside the leader.  In one order of all
+    A node of n shingles shares at least c * (n + m) with any similar one of m,
+    so t = c * (n + m) - i or more of them outside the leader; m is no less
+    than least * n and the least size met with that leader.  In one order of all
     shingles, the first that two nodes share outside it is then among the first
     d - t + 1 of their d: a node is put into those buckets only."""
     c = least / (1 + least)
@@ -228,9 +229,11 @@ def _split(buckets: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame
     apart = stored(buckets.filter("node != v").select("node", "v").distinct().join(a, "node").join(b, "v").select(
         "node", "v", F.size("su").alias("n"), F.size(F.array_intersect("su", "sv")).alias("i"), F.array_except("su", "sv").alias("d")), "apart")
     facts = buckets.select("node", "n", "degree", "component").distinct()
-    t = F.greatest(F.lit(1), F.ceil(F.lit(least) * F.col("n") - F.col("i") - F.lit(1e-9)).cast("int"))
+    smallest = buckets.groupBy("v").agg(F.min("n").alias("smallest"))
+    shared = F.lit(c) * (F.col("n") + F.greatest(F.lit(least) * F.col("n"), F.col("smallest")))
+    t = F.greatest(F.lit(1), F.ceil(shared - F.col("i") - F.lit(1e-9)).cast("int"))
     prefix = F.slice(F.array_sort("d"), F.lit(1), F.greatest(F.lit(0), F.size("d") - t + 1))
-    finer = apart.select("node", F.explode(F.transform(prefix, lambda s: F.xxhash64("v", s))).alias("bucket"))
+    finer = apart.join(smallest, "v").select("node", F.explode(F.transform(prefix, lambda s: F.xxhash64("v", s))).alias("bucket"))
     several = finer.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
     rows = finer.join(several, "bucket").join(facts, "node")
     mixed = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("bucket")
