@@ -233,7 +233,7 @@ def _split(buckets: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame
     shared = F.lit(c) * (F.col("n") + F.greatest(F.lit(least) * F.col("n"), F.col("smallest")))
     t = F.greatest(F.lit(1), F.ceil(shared - F.col("i") - F.lit(1e-9)).cast("int"))
     prefix = F.slice(F.array_sort("d"), F.lit(1), F.greatest(F.lit(0), F.size("d") - t + 1))
-    finer = apart.join(smallest, "v").select("node", F.explode(F.transform(prefix, lambda s: F.xxhash64("v", s))).alias("bucket"))
+    finer = stored(apart.join(smallest, "v").select("node", F.explode(F.transform(prefix, lambda s: F.xxhash64("v", s))).alias("bucket")), "finer")
     several = finer.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
     rows = finer.join(several, "bucket").join(facts, "node")
     mixed = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("bucket")
