@@ -8,7 +8,10 @@ within a file; ``(_source_file, _pos)`` orders them across files).
 
 from __future__ import annotations
 
+import codecs
+import re
 from collections.abc import Sequence
+from xml.parsers import expat
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,9 @@ ATOM_ENTRY_SCHEMA = ("title string, link array<struct<_href:string,_rel:string>>
                      "_corrupt_record string")
 # Root elements of RSS 2.0, RSS 1.0 and Atom, without a prefix.
 FEED_ROOTS = ("rss", "RDF", "feed")
+# Encodings that the markup parser reads itself; the others are decoded for it.
+NATIVE_ENCODINGS = ("utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "utf-16")
+NOT_CLOSED = "root element not closed"
 
 
 def _paths(paths) -> list[str]:
@@ -112,35 +118,97 @@ def read_feed_items(spark: SparkSession, paths) -> DataFrame:
     return items.unionByName(entries)
 
 
+class _Markup:
+    """Well-formedness of one file, fed in pieces to a streaming parser:
+    ``root`` (the first element) and ``error`` (NULL if nothing is wrong)."""
+
+    def __init__(self):
+        self.root = self.error = self._parser = self._decode = None
+        self._head = b""
+
+    def _open(self) -> None:
+        # The item readers can't read UTF-16: it must not count as intact.
+        if self._head.startswith((codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)) or b"\0" in self._head:
+            raise ValueError("not in a superset of ASCII")
+        name = re.match(rb"<\?xml[^>]*?encoding\s*=\s*[\"']([\w.:-]+)", self._head)
+        if name and (name := name[1].decode()).lower() not in NATIVE_ENCODINGS and codecs.lookup(name)._is_text_encoding:
+            self._decode = codecs.getincrementaldecoder(name)("replace").decode
+        self._parser = expat.ParserCreate()
+        self._parser.StartElementHandler = self._first
+
+    def _first(self, name: str, _) -> None:
+        self.root = name
+        self._parser.StartElementHandler = None
+
+    def feed(self, data: bytes, last: bool = False) -> None:
+        if self.error:
+            return
+        try:
+            if self._parser is None:
+                self._head = (self._head + data).removeprefix(codecs.BOM_UTF8)
+                if not last and b">" not in self._head and len(self._head) < 4096:
+                    return
+                self._open()
+                data = self._head
+            self._parser.Parse(self._decode(data, last) if self._decode else data, last)
+        except expat.ExpatError as e:
+            self.error = NOT_CLOSED if self.root and e.code == expat.errors.codes[expat.errors.XML_ERROR_NO_ELEMENTS] else str(e)
+        except (LookupError, ValueError) as e:
+            self.error = str(e)
+
+
+def _judge(batches):
+    """(_source_file, root, error) of files whose lines come in order."""
+    import pyarrow as pa
+
+    def row(name, markup):
+        markup.feed(b"", True)
+        return pa.RecordBatch.from_pylist([{"_source_file": name, "root": markup.root, "error": markup.error}],
+                                          pa.schema([(c, pa.string()) for c in ("_source_file", "root", "error")]))
+    name = markup = None
+    for batch in batches:
+        for f, line in zip(batch.column("_source_file"), batch.column("line"), strict=True):
+            if (f := f.as_py()) != name:
+                if markup is not None:
+                    yield row(name, markup)
+                name, markup = f, _Markup()
+                markup.feed(line.as_py())
+            else:
+                markup.feed(b"\n" + line.as_py())
+    if markup is not None:
+        yield row(name, markup)
+
+
 def feed_files(spark: SparkSession, paths) -> DataFrame:
-    """One row for each landed file: its first element, the element that its
-    last line closes, and what is wrong with them (``fault``: NULL if nothing
-    is).  The lines are read in splits and aggregated before the shuffle.
-    Files of no bytes are in no Spark scan and so not listed."""
+    """One row for each landed file: its first element, the parser's ``error``
+    (NULL if the whole file is well-formed) and what else is wrong with the
+    file (``fault``: NULL if nothing is).  The lines are read in splits; each
+    file's are then parsed in order by one task, as a stream, so that no file
+    has to fit in memory.  Files of no bytes are in no Spark scan and so not
+    listed."""
     listed = spark.read.format("binaryFile").load(_paths(paths)).select(
         F.col("_metadata.file_path").alias("_source_file"))
-    lines = with_position(spark.read.text(_paths(paths))).filter(F.col("value").rlike(r"\S"))
-    opens = F.nullif(F.regexp_extract("value", r"<([A-Za-z][\w:.-]*)", 1), F.lit(""))
-    closes = F.regexp_extract("value", r"</([A-Za-z][\w:.-]*)\s*>\s*(?:<!--.*-->\s*)?$", 1)
-    ends = lines.groupBy("_source_file").agg(
-        F.min_by(opens, F.when(opens.isNotNull(), F.col("_pos"))).alias("root"),
-        F.max_by(closes, F.col("_pos")).alias("closed"))
+    lines = with_position(spark.read.option("lineSep", "\n").text(_paths(paths)))
+    ends = (lines.select("_source_file", "_pos", F.col("value").cast("binary").alias("line"))
+            .repartition("_source_file").sortWithinPartitions("_source_file", "_pos").select("_source_file", "line")
+            .mapInArrow(_judge, "_source_file string, root string, error string"))
     known = F.regexp_replace("root", r"^.*:", "").isin(*FEED_ROOTS)
     return listed.join(ends, "_source_file", "left").withColumn(
         "fault", F.when(F.col("root").isNull(), F.lit("no element"))
         .when(~known, F.concat(F.lit("root element "), F.col("root")))
-        .when(F.col("closed") != F.col("root"), F.lit("root element not closed")))
+        .when(F.col("error") == NOT_CLOSED, F.col("error")))
 
 
 def rejected_files(items: DataFrame, files: DataFrame) -> DataFrame:
-    """One row for each file with a fault or with a record that can't be parsed."""
+    """One row for each file with a fault, with a record that can't be parsed or not well-formed."""
     # (a data column is referenced too: Spark refuses scans that read only
     # the corrupt-record column)
     touch = F.length(F.coalesce(F.col("title"), F.lit(""))) >= 0
     corrupt = items.filter(F.col("_corrupt_record").isNotNull() & touch) \
                    .groupBy("_source_file").agg(F.count(F.lit(1)).alias("corrupt_records"))
     records = F.coalesce(F.col("corrupt_records"), F.lit(0))
-    reason = F.coalesce(F.col("fault"), F.when(records > 0, F.lit("records not parsed")))
+    reason = F.coalesce(F.col("fault"), F.when(records > 0, F.lit("records not parsed")),
+                        F.concat(F.lit("not well-formed: "), F.col("error")))
     return files.join(corrupt, "_source_file", "left").select(
         "_source_file", reason.alias("reason"), records.alias("corrupt_records")).filter("reason IS NOT NULL")
 

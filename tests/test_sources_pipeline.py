@@ -194,3 +194,23 @@ def test_first_goes_by_file_and_position(spark, tmp_dir):
         f.write(head + row.format(ind.UNIT_NUMBER, ind.HELD, 1) * 50)
     df = ind.load_and_clean(fs.read_observations_csv(spark, f"{tmp_dir}/obs"))
     assert ind.pivot_first(df, ind.UNIT_NUMBER).first().PRISONERS_NUM == 5.0
+
+
+def test_feed_files_judged_by_well_formedness(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/feeds")
+    good = {
+        "trailing": FEED + "<!-- cached\nby </b> a plugin -->\n<!-- 0.2 s -->\n<?done now?>\n", "split": FEED.replace("</rss>", "</rss\n>"),
+        "leading": FEED.replace("<rss", "<!-- <b> -->\n<rss", 1), "crlf": FEED.replace("\n", "\r\n") + "\n", "atom": ATOM + "<!--\nx\n-->",
+        "gbk": FEED.replace("UTF-8", "GBK").replace("<title>t<", "<title>中文<"), "cp1252": FEED.replace("UTF-8", "windows-1252").replace("<title>t<", "<title>“x”<")}
+    bad = {"amp": FEED.replace("<title>t<", "<title>a & b<"), "channel": FEED.replace("<title>t</title>", "<title>t"),
+           "after": FEED + "</rss>\n", "utf16": FEED, "cut": FEED[:FEED.index("</channel>") + 4]}
+    for name, text in (good | bad).items():
+        with open(f"{tmp_dir}/feeds/{name}.xml", "wb") as f:
+            f.write(text.encode({"utf16": "utf-16", "gbk": "gbk", "cp1252": "cp1252"}.get(name, "utf-8")))
+    entries, rejected = fs.read_feeds(spark, f"{tmp_dir}/feeds")
+    counts = {r.feed: r["count"] for r in entries.groupBy("feed").count().collect()}
+    assert counts == {name: 2 if name == "atom" else 3 for name in good}
+    reasons = {os.path.basename(r._source_file)[:-4]: r.reason for r in rejected.collect()}
+    assert set(reasons) == set(bad) and reasons["utf16"] == "no element"
+    errors = {os.path.basename(r._source_file)[:-4]: r.error for r in fs.feed_files(spark, f"{tmp_dir}/feeds").filter("error IS NOT NULL").collect()}
+    assert set(errors) == set(bad) and reasons["cut"] == f"not well-formed: {errors['cut']}"
