@@ -31,6 +31,9 @@ from .work import mapped, stored
 
 #: Words of a window.
 WINDOW = 10
+#: Proximity of the query: words from a window's rarest word within which its others lie.  A window has at most
+#: ``WINDOW`` - 1 there as it is; one more lets a word be put in or moved past its end.
+SLOP = WINDOW
 #: Windows searched at a time: with ten terms, 16 MB of hashes.
 MAX_WINDOWS = 200_000
 #: Beyond so many distinct benchmark terms (16 MB of hashes), the index keeps all terms.
@@ -253,10 +256,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     return hits.select("block", "row", "doc_id", "n_words", covered(F.col("spans")).alias("n_hit"), "spans", "items", "near_items")
 
 
+def _report(found: DataFrame) -> DataFrame:
+    """The query's columns, with those of the proximity matches behind them."""
+    digest = lambda x: F.sha2(F.array_join(F.array_sort(F.transform(x, lambda i: i.cast("string"))), ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        digest("items").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+                        F.size("near_items").cast("long").alias("n_near_items"), digest("near_items").alias("near_items_sha256"))
+
+
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    found = contamination(docs, bench)
-    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    return _report(contamination(docs, bench)).drop("n_near_items", "near_items_sha256")
+
+
+def op9_decontamination_near(spark, sf_dir: str) -> DataFrame:
+    """The same, with the items that a document has in proximity (``SLOP``)."""
+    docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return _report(contamination(docs, bench, slop=SLOP))

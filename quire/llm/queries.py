@@ -15,6 +15,7 @@ QUERIES = {
     "op7_source_mix": mixing.op7_source_mix,
     "op8_token_counts": tokencount.op8_token_counts,
     "op9_decontamination": decontam.op9_decontamination,
+    "op9_decontamination_near": decontam.op9_decontamination_near,
     "op10_top_k": topk.op10_top_k,
 }
 

@@ -83,3 +83,19 @@ def test_given_tables(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     assert key(decontam.op9_decontamination(spark, sf_dir).collect()) == key(brute(docs, items))
+
+
+def test_registered_proximity(spark, folder, tmp_path):
+    from quire.llm.queries import QUERIES
+    long = "one two three four five six seven eight nine ten eleven twelve".split()
+    docs = [(1, " ".join(long)), (2, " ".join([*long[:6], "x", *long[6:]])), (3, " ".join([*long[:3], *long[4:8], long[3], *long[8:]])), (4, " ".join(long[:6] + ["x"] * 11 + long[6:])), (5, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(long))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = QUERIES["op9_decontamination_near"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_items, r.contaminated, r.n_near_items) for r in got} == {
+        1: (1, True, 1), 2: (0, False, 1), 3: (0, False, 1), 4: (0, False, 0), 5: (0, False, 0)}
+    assert {r.near_items_sha256 for r in got if r.doc_id < 4} == {hashlib.sha256(b"7").hexdigest()}
+    path, docs, items = folder
+    near = QUERIES["op9_decontamination_near"](spark, path)
+    assert key(near.drop("n_near_items", "near_items_sha256").collect()) == key(brute(docs, items))
+    assert near.filter("n_near_items < n_items").count() == 0
