@@ -4,7 +4,8 @@ Patterns give the base spans.  The method adds spans by entropy: over each
 candidate string a window slides by one character, and the counts of its
 characters, with the sum of c*log2(c), are kept up by one entry in and one
 out.  Windows whose Shannon entropy reaches the class's threshold are joined
-to spans, unless the candidate is on the allow-list or a base span holds it.
+to spans, unless the candidate is on the allow-list, the window touches a
+published part, or a base span holds it.
 Everything is computed inside the document's own row: there is no shuffle,
 and no group to be skewed.
 
@@ -31,11 +32,16 @@ CLASSES = [
     ("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", r"[A-Za-z0-9+/_=-]{24,}", 24, 4.0),
 ]
 #: Candidates that are no secrets: words of one case, runs of one or two
-#: characters, counting sequences, paths of plain words, published examples.
+#: characters, paths of plain words (no repeated group: Java's would recurse).
 ALLOW = [
     r"^[A-Z]?[a-z]+$", r"^[A-Z]+$", r"^[0-9]+$", r"^(.)\1*$", r"^(..)\1+$",
-    r"(?i)0123456789|abcdefghij|example", r"^[A-Za-z]*([/_=-]+[A-Za-z]*)+$",
+    r"^[A-Za-z]*[/_=-][A-Za-z/_=-]*$",
 ]
+#: Parts of counting sequences and published examples.  A window is no secret where it touches one, or what
+#: surrounds it up to a separator or ``REACH`` characters; the rest of the candidate counts.
+PUBLISHED = [r"0123456789", r"abcdefghij", r"example"]
+REACH = 24
+_PART = r"[^/_=-]"
 KINDS = ["assign", "access", "hex", *(c[0] for c in CLASSES)]
 _BLOCK = 256
 
@@ -73,15 +79,25 @@ def span(start: Column, kind: int, end: Column) -> Column:
     return F.struct(start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.cast("int").alias("end"))
 
 
+def unpublished(s: Column) -> Column:
+    """The candidate with NUL in place of each character of a published part and its surroundings."""
+    marked = s
+    for p in PUBLISHED:
+        marked = F.regexp_replace(marked, f"(?i){p}", "\0" * len(p))
+    around = rf"(?<=\x00{_PART}{{0,{REACH - 1}}}){_PART}|{_PART}(?={_PART}{{0,{REACH - 1}}}\x00)"
+    return F.when(s.rlike("(?i)" + "|".join(PUBLISHED)), F.regexp_replace(marked, around, "\0")).otherwise(s)
+
+
 def entropy_spans(s: Column, alphabet: str, window: int, threshold: float) -> Column:
-    """array<struct<a, b>>: the joined windows of a candidate whose entropy reaches the threshold."""
+    """array<struct<a, b>>: the joined windows of a candidate whose entropy reaches the threshold.
+    A window with a character beyond the alphabet is none."""
     chars = F.lower(s) if alphabet == alphabet.lower() else s
     codes = F.transform(F.split(chars, ""), lambda c: F.position(c, F.lit(alphabet)) - 1)
     weigh = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
     most = window * (math.log2(window) - threshold) + 1e-9
     pair = "array<struct<a:int,b:int>>"
     begin = F.struct(
-        F.array_repeat(F.lit(0), len(alphabet)).alias("n"), F.lit(0.0).alias("sum"), F.lit(0).alias("i"),
+        F.array_repeat(F.lit(0), len(alphabet)).alias("n"), F.lit(0.0).alias("sum"), F.lit(0).alias("i"), F.lit(0).alias("from"),
         F.lit(-1).alias("a"), F.lit(-1).alias("b"), F.array().cast(pair).alias("out"))
 
     def walk(codes: Column) -> Column:
@@ -89,15 +105,16 @@ def entropy_spans(s: Column, alphabet: str, window: int, threshold: float) -> Co
             i = st["i"]
             gone = F.when(i >= window, F.get(codes, i - window)).otherwise(F.lit(-1))
             came_n, gone_n = F.get(st["n"], c), F.when(gone >= 0, F.get(st["n"], gone)).otherwise(F.lit(0))
-            change = (F.get(weigh, came_n + 1) - F.get(weigh, came_n)
+            change = (F.when(c >= 0, F.get(weigh, came_n + 1) - F.get(weigh, came_n)).otherwise(F.lit(0.0))
                       + F.when(gone >= 0, F.get(weigh, gone_n - 1) - F.get(weigh, gone_n)).otherwise(F.lit(0.0)))
             total = st["sum"] + F.when(gone == c, F.lit(0.0)).otherwise(change)
             n = F.transform(st["n"], lambda x, k: x + (k == c).cast("int") - (k == gone).cast("int"))
-            hot = (i >= window - 1) & (total <= most)
             a, b = i - (window - 1), i + 1
+            first = F.when(c < 0, b).otherwise(st["from"])
+            hot = (a >= first) & (total <= most)
             new = hot & (a > st["b"])
             return F.struct(
-                n.alias("n"), total.alias("sum"), b.alias("i"),
+                n.alias("n"), total.alias("sum"), b.alias("i"), first.alias("from"),
                 F.when(new, a).otherwise(st["a"]).alias("a"), F.when(hot, b).otherwise(st["b"]).alias("b"),
                 F.when(new & (st["a"] >= 0), F.concat(st["out"], F.array(F.struct(st["a"].alias("a"), st["b"].alias("b"))))).otherwise(st["out"]).alias("out"))
         return F.aggregate(codes, begin, step, lambda st: F.when(
@@ -119,7 +136,7 @@ def scan(docs: DataFrame, text: str = "text", allow: list[str] | None = None) ->
     for k, (_, alphabet, pattern, window, threshold) in enumerate(CLASSES, 3):
         cands = F.filter(found(t, pattern), lambda m: ~known(m["s"]))
         more.append(F.flatten(F.transform(cands, lambda m: F.transform(  # noqa: B023 -- called at once
-            entropy_spans(m["s"], alphabet, window, threshold), lambda e: span(m["start"] + e["a"], k, m["start"] + e["b"])))))
+            entropy_spans(unpublished(m["s"]) if allow is None else m["s"], alphabet, window, threshold), lambda e: span(m["start"] + e["a"], k, m["start"] + e["b"])))))
     out = docs.withColumn("base", F.array_sort(F.concat(assign, access, plain(HEX, 2)))).withColumn("added", F.concat(*more))
     fresh = F.filter("added", lambda x: ~F.exists("base", lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])))
     return out.withColumn("added", F.array_sort(fresh))

@@ -78,3 +78,19 @@ def test_given_tables(spark, sf_dir):
 def test_no_python_and_no_shuffle(spark, sf_dir):
     plan = secrets.op1_secret_scan(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_published_parts_excuse_only_their_surroundings(spark):
+    key = "Zk8vQ2xLm0Wp4RtY7nBc3HdS9fGjA1eUiO5"
+    none = [RANDOM_ALPHABET, "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "EXAMPLE" + key[:20], "0123456789ABCDEF0123456789ABCDEF", key[:20] + "abcdefghij" + key[:20]]
+    held = [f"docs/example/{key}", f"my-example-key={key}", f"docs_Example_{key}/x", f"{key}/0123456789", "a" * 200 + "example" + "a" * 200 + key, "example/" * 30_000 + key]
+    rows = spark.createDataFrame(list(enumerate(none + held)), "doc_id long, text string")
+    got = {r.doc_id: [(x.start, x.end) for x in r.added] for r in secrets.scan(rows).collect()}
+    assert all(not got[i] for i in range(len(none)))
+    for i, t in enumerate(held, len(none)):
+        at = t.index(key)
+        assert got[i] and any(a <= at and at + len(key) <= b for a, b in got[i]), t[-80:]
+        assert all("example" not in t[a:b].lower() for a, b in got[i])
+
+
+RANDOM_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
