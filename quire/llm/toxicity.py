@@ -77,11 +77,15 @@ class Lexicon(NamedTuple):
 
 def automaton(lexicon: Lexicon):
     import ahocorasick
-    a = ahocorasick.Automaton()
+    # A word, a beginning and an exception phrase of the same letters share a key.
+    entries: dict[str, list] = {}
     for p, w in lexicon.weights.items():
-        a.add_word(p.rstrip("*"), (p, len(p.rstrip("*")), w))
+        entries.setdefault(p.rstrip("*"), []).append((p, w))
     for p in lexicon.exceptions:
-        a.add_word(p, (None, len(p), 0.0))
+        entries.setdefault(p, []).append((None, 0.0))
+    a = ahocorasick.Automaton()
+    for key, of in entries.items():
+        a.add_word(key, (len(key), of))
     if len(a):
         a.make_automaton()
     return a
@@ -93,14 +97,15 @@ def features(text: str, a) -> tuple[float, float]:
         return 0.0, 0.0
     t = fold(text)
     hits, free = [], []
-    for end, (p, size, w) in a.iter(t):
+    for end, (size, entries) in a.iter(t):
         start, end = end - size + 1, end + 1
         if start and t[start - 1].isalnum():
             continue
-        if p is None:
-            free.append((start, end))
-        elif p.endswith("*") or end == len(t) or not t[end].isalnum():
-            hits.append((start, end, w))
+        for p, w in entries:
+            if p is None:
+                free.append((start, end))
+            elif p.endswith("*") or end == len(t) or not t[end].isalnum():
+                hits.append((start, end, w))
     if not hits:
         return 0.0, 0.0
     if free:

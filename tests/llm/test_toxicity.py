@@ -1,5 +1,6 @@
 """Toxicity: held-out accuracy, folding, exceptions and edges."""
 
+import math
 import zlib
 
 import pytest
@@ -52,3 +53,10 @@ def test_no_labels_and_empty_table(spark):
     lexicon = toxicity.learn(d, labels)
     assert all(0 <= r.toxicity < 0.5 for r in toxicity.score(d, lexicon).collect())
     assert toxicity.score(d.limit(0), lexicon).collect() == []
+
+
+@pytest.mark.parametrize("order", [("idiot", "idiot*"), ("idiot*", "idiot")])
+def test_word_and_beginning_of_the_same_letters(order):
+    weights = {"idiot": 5.0, "idiot*": 2.0}
+    a = toxicity.automaton(toxicity.Lexicon({p: weights[p] for p in order}, ()))
+    assert [toxicity.features(t, a)[0] for t in ("you idiot!", "idiotic")] == [pytest.approx(math.log1p(w)) for w in (5.0, 2.0)]
