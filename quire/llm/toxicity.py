@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .words import chunks
-from .work import mapped
+from .work import mapped, stored
 
 #: Labelled documents that are learned from, at most.
 SAMPLE = 12_000
@@ -144,16 +144,21 @@ def held_out(doc_id):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of the documents that are learned from."""
+    """(text, toxic) of the documents that are learned from: of the rows that
+    share a doc_id the one whose text has the least hash, so that there are
+    at most ``most`` rows."""
     ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("doc_id"))
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     # At most ``most`` rows of two numbers.
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").select("text", "toxic")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
+    # Summed before the shuffle: a task sends one text for each id.
+    return (rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text"), F.col("toxic"))).alias("least"))
+            .select("least.text", "least.toxic"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Lexicon:
-    sample = labelled(docs, labels, most)
+    sample = stored(labelled(docs, labels, most), "labelled")
     n = {r.toxic: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1):
         return Lexicon({}, EXCEPTIONS)

@@ -60,3 +60,12 @@ def test_word_and_beginning_of_the_same_letters(order):
     weights = {"idiot": 5.0, "idiot*": 2.0}
     a = toxicity.automaton(toxicity.Lexicon({p: weights[p] for p in order}, ()))
     assert [toxicity.features(t, a)[0] for t in ("you idiot!", "idiotic")] == [pytest.approx(math.log1p(w)) for w in (5.0, 2.0)]
+
+
+def test_sample_has_one_row_for_each_id(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    docs = [(i, f"text {i}", None) for i in ids] + [(ids[0], f"copy {k % 7}", None) for k in range(500)] + [(ids[0], None, None)]
+    d, labels = tables(spark, docs, [(i, 1, i % 2) for i in ids])
+    got = toxicity.labelled(d, labels).collect()
+    assert len(got) == len(ids) and sorted(map(tuple, got), key=repr) == sorted(map(tuple, toxicity.labelled(d.repartition(3, "text"), labels).collect()), key=repr)
+    assert len(toxicity.labelled(d, labels, 5).collect()) == 5
