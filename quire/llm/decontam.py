@@ -10,7 +10,9 @@ offset-adjusted postings lists from the rarest term on, block by block.
 Terms are 64-bit hashes of words (see ``words``).  A window is ``window``
 consecutive words of an item; an item of fewer words, but not none, is one
 window.  Windows go to the tasks in groups of at most ``MAX_WINDOWS``, so what
-is broadcast is bounded; further groups are searched in the same index.
+is broadcast is bounded; further groups are searched in the same index.  The
+windows' item lists go with them up to ``MAX_ENTRIES`` entries; beyond, each
+distinct list has a number, and a Spark join resolves the numbers found.
 
 Null or empty texts have no words and are not hit; an item without words has
 no window; repeated documents and items are each handled as a row of their
@@ -36,6 +38,9 @@ WINDOW = 10
 SLOP = WINDOW
 #: Windows searched at a time: with ten terms, 16 MB of hashes.
 MAX_WINDOWS = 200_000
+#: Entries of all windows' item lists up to which they go to the tasks with the windows (8 MB); beyond, only the
+#: number of each distinct list does, and the items are joined to what was found.
+MAX_ENTRIES = 1_000_000
 #: Beyond so many distinct benchmark terms (16 MB of hashes), the index keeps all terms.
 MAX_TERMS = 2_000_000
 
@@ -143,13 +148,20 @@ def intersect(terms: np.ndarray, begin: np.ndarray, positions: np.ndarray, need:
     return win, pos
 
 
-def search(index: DataFrame, wanted: DataFrame, df: DataFrame, slop: int | None = None, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def search(index: DataFrame, wanted: DataFrame, df: DataFrame, slop: int | None = None, max_windows: int = MAX_WINDOWS,
+           max_entries: int = MAX_ENTRIES) -> DataFrame:
     """HITS: a row for each indexed document, with the merged spans (in words)
     of all window occurrences and the items that they belong to; with ``slop``
     also the items a window of which lies there in proximity: all its words
     within ``slop`` words of its rarest one, in any order, in one document."""
     spark = index.sparkSession
-    groups = max(1, -(-wanted.count() // max_windows))
+    n, entries = wanted.agg(F.count(F.lit(1)), F.sum(F.size("items"))).first()
+    if (entries or 0) > max_entries:
+        lists = stored(wanted.select("items").distinct().select(F.monotonically_increasing_id().alias("list"), "items"), "lists")
+        numbered = stored(wanted.join(lists, "items").select("terms", F.array("list").alias("items")), "numbered")
+        hits = _resolved(stored(search(index, numbered, df, slop, max_windows, n), "hits"), lists, "items")
+        return hits if slop is None else _resolved(stored(hits, "hits-resolved"), lists, "near_items")
+    groups = max(1, -(-n // max_windows))
     # The windows' terms with their frequencies, rarest first.
     ranked = (wanted.select("terms", "items", F.posexplode("terms").alias("place", "term"))
               .join(df, "term", "left")
@@ -170,6 +182,19 @@ def search(index: DataFrame, wanted: DataFrame, df: DataFrame, slop: int | None
     return out
 
 
+def _resolved(hits: DataFrame, lists: DataFrame, column: str) -> DataFrame:
+    """The hits with the items of the lists whose numbers ``column`` has; those
+    without any, which are most, take no part in the join.  Each distinct combination of lists is resolved once, whatever number of
+    documents has it, and its items are made distinct before they are grouped."""
+    found = hits.filter(F.size(column) > 0)
+    each = (found.select(F.col(column).alias("lists")).distinct().select("lists", F.explode("lists").alias("list")).join(lists, "list")
+            .select("lists", F.explode("items").alias("item"))
+            .groupBy("lists").agg(F.sort_array(F.collect_set("item")).alias("__resolved")))
+    resolved = (found.join(each, found[column] == each["lists"], "left")
+                .withColumn(column, F.coalesce("__resolved", F.array().cast("array<long>"))).select(*hits.columns))
+    return resolved.unionByName(hits.filter(F.size(column) == 0))
+
+
 def _searcher(spark, table: pa.Table, slop: int | None):
     table = table.combine_chunks()
     terms, order = table.column("terms").to_pylist(), table.column("order").to_pylist()
@@ -244,7 +269,7 @@ def covered(spans) -> F.Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int | None = None,
-                  max_windows: int = MAX_WINDOWS, max_terms: int = MAX_TERMS) -> DataFrame:
+                  max_windows: int = MAX_WINDOWS, max_terms: int = MAX_TERMS, max_entries: int = MAX_ENTRIES) -> DataFrame:
     """doc_id, n_words, n_hit, spans, items, near_items for every document."""
     wanted = stored(windows(benchmark, window), "wanted")
     vocabulary = wanted.select(F.explode("terms").alias("term")).distinct()
@@ -252,7 +277,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     if vocabulary.count() <= max_terms:
         terms = np.sort(np.array([r.term for r in vocabulary.collect()], np.int64))
     index = build_index(docs, terms)
-    hits = search(index, wanted, frequencies(index), slop, max_windows)
+    hits = search(index, wanted, frequencies(index), slop, max_windows, max_entries)
     return hits.select("block", "row", "doc_id", "n_words", covered(F.col("spans")).alias("n_hit"), "spans", "items", "near_items")
 
 

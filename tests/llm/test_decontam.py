@@ -99,3 +99,23 @@ def test_registered_proximity(spark, folder, tmp_path):
     near = QUERIES["op9_decontamination_near"](spark, path)
     assert key(near.drop("n_near_items", "near_items_sha256").collect()) == key(brute(docs, items))
     assert near.filter("n_near_items < n_items").count() == 0
+
+
+@pytest.mark.parametrize("options", [{"max_entries": 0}, {"max_entries": 1, "max_windows": 2}])
+def test_item_lists_are_joined_beyond_the_bound(spark, folder, options, monkeypatch):
+    path, docs, items = folder
+    shared = "a passage that every item has in it word for word here too"
+    docs, items = [*docs, (20, shared), (21, shared)], [*items, *((100 + i, f"{shared} {i}") for i in range(30))]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    sent = []
+    searcher = decontam._searcher
+    monkeypatch.setattr(decontam, "_searcher", lambda s, table, slop: sent.append(max(map(len, table.column("items").to_pylist()), default=0)) or searcher(s, table, slop))
+    got = decontam.contamination(d, b, slop=4, **options).collect()
+    assert max(sent) == 1
+    sent.clear()
+    whole = decontam.contamination(d, b, slop=4).collect()
+    assert max(sent) == 30
+    rows = lambda x: key((r.doc_id, r.n_words, r.n_hit, r["items"], r.near_items) for r in x)
+    assert rows(got) == rows(whole) and len({r.doc_id: r["items"] for r in got}[20]) == 30
+    assert key((r.doc_id, r.n_hit, len(r["items"])) for r in got) == key((x[0], x[2], x[3]) for x in brute(docs, items))
