@@ -8,7 +8,7 @@ The mix is the prefix, in virtual time, that the total budget holds.
 
 Cumulative sums go over ranges of at most about ``ROWS`` documents of one
 source, then over the ranges, so a source with a third of all rows is split
-like any other.  The global order is dealt into ranges of virtual time;
+like any other, and so are the rows of one doc_id.  The global order is dealt into ranges of virtual time;
 only the range in which the budget ends is sorted row by row, every other
 lies wholly inside or outside.
 
@@ -29,14 +29,28 @@ WEIGHTS = (1, 2, 3)
 MOST = 3
 #: Documents of a range, about.
 ROWS = 4096
+#: Documents that one place (a doc_id's hash) holds at most; those of a doc_id with more are spread.
+REPEATS = ROWS // 16
 
 
 def sizes(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """uid, doc_id, source, size, place (63 bits of a hash): one row for each document."""
+    """uid, doc_id, source, size, place (63 bits of a hash), salt (the text's hash): one row for each document."""
     return docs.select(
         F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id().alias("uid"), "doc_id", "source",
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long").alias("size"),
-        F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 1).alias("place"))
+        F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 1).alias("place"), F.xxhash64("text").alias("salt"))
+
+
+def spread(sized: DataFrame) -> DataFrame:
+    """The documents with a place of their own where more than ``REPEATS``
+    have one: a doc_id, or its lack, that comes often does not fill a range.
+    Counted before the shuffle; there is one such place for each ``REPEATS``
+    documents at most, and the others' places stay."""
+    often = stored(sized.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > REPEATS)
+                   .select("place", F.lit(True).alias("often")), "often")
+    own = F.shiftrightunsigned(F.xxhash64("place", "salt", "uid"), 1)
+    return (sized.join(often, "place", "left")
+            .withColumn("place", F.when(F.col("often"), own).otherwise(F.col("place"))).drop("often", "salt"))
 
 
 def targets(sized: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, share: float = 1.0) -> DataFrame:
@@ -62,6 +76,7 @@ def targets(sized: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, share:
 def finish_times(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     """The documents with ``finish``: the cumulative words of the first pass up to and with each."""
     ranges = F.ceil(F.col("n_rows") / F.lit(ROWS)).cast("long")
+    sized = spread(sized)
     there = (sized.join(by_source, sized.source.eqNullSafe(by_source.source)).drop(by_source.source)
              .withColumn("range", F.shiftright(F.shiftright("place", 32) * ranges, 31)))
     sums = there.groupBy("src", "range").agg(F.sum("size").alias("words"))

@@ -90,3 +90,19 @@ def test_empty_table_and_plan(spark, sf_dir):
     assert mixing.plan(mixing.sizes(none)).collect() == [] and mixing.mix(none).collect() == []
     plan = mixing.op7_source_mix(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_of_one_id_are_spread(spark):
+    from pyspark.sql import functions as F
+    n = 5 * mixing.ROWS
+    docs = spark.range(3 * n).select(
+        F.when(F.col("id") < n, F.lit(7)).when(F.col("id") < 2 * n, F.col("id")).alias("doc_id"), F.lit("a").alias("source"),
+        F.when(F.col("id") % 2 == 0, F.lit("one text")).otherwise(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"))
+    sized = mixing.sizes(docs)
+    timed = mixing.finish_times(mixing.stored(sized, "test-sizes"), mixing.targets(sized))
+    ranges = timed.groupBy(F.shiftright(F.shiftright("place", 32) * 15, 31)).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(ranges) == 15 and max(r.n for r in ranges) < 1.2 * mixing.ROWS
+    assert timed.agg(F.countDistinct("finish"), F.max("finish"), F.count(F.lit(1))).first() == (3 * n, 6 * n, 3 * n)
+    # The place of a doc_id that does not come often is its hash.
+    plain = timed.filter("doc_id <> 7").join(sized.select("doc_id", F.col("place").alias("was")), "doc_id")
+    assert plain.count() == n and plain.filter("place <> was").count() == 0
