@@ -33,10 +33,19 @@ ROWS = 4096
 REPEATS = ROWS // 16
 
 
-def sizes(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """uid, doc_id, source, size, place (63 bits of a hash), salt (the text's hash): one row for each document."""
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have."""
+    there = {c.lower() for c in docs.columns}
+    while name in there:
+        name += "_"
+    return name
+
+
+def sizes(docs: DataFrame, seed: int = 7, uid: str | None = None) -> DataFrame:
+    """uid, doc_id, source, size, place (63 bits of a hash), salt (the text's hash): one row for each document.
+    ``uid``: the column that has the documents' numbers (None: they are numbered here)."""
     return docs.select(
-        F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id().alias("uid"), "doc_id", "source",
+        (F.col(uid) if uid else F.monotonically_increasing_id()).alias("uid"), "doc_id", "source",
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long").alias("size"),
         F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 1).alias("place"), F.xxhash64("text").alias("salt"))
 
@@ -140,11 +149,12 @@ def plan(sized: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, share: fl
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, share: float = 1.0, seed: int = 7) -> DataFrame:
     """The mix itself: the documents in order of virtual time, each as often as it is taken."""
-    kept = stored(docs.withColumn("uid", F.monotonically_increasing_id()), "mix-input")
-    chosen = plan(sizes(kept, seed), weights, most, share, seed).filter(F.col("passes") > 0)
-    each = chosen.select("uid", F.explode(F.array_compact(F.array(
-        *[F.when(F.col("passes") > c, order_of(F.lit(c))) for c in range(most)]))).alias("__at"))
-    return kept.join(each, "uid").orderBy("__at").select(*docs.columns)
+    uid, at = free_name(docs, "__uid"), free_name(docs, "__at")
+    kept = stored(docs.withColumn(uid, F.monotonically_increasing_id()), "mix-input")
+    chosen = plan(sizes(kept, seed, uid), weights, most, share, seed).filter(F.col("passes") > 0)
+    each = chosen.select(F.col("uid").alias(uid), F.explode(F.array_compact(F.array(
+        *[F.when(F.col("passes") > c, order_of(F.lit(c))) for c in range(most)]))).alias(at))
+    return kept.join(each, uid).orderBy(at).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_source_mix(spark, sf_dir: str) -> DataFrame:

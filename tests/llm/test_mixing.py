@@ -106,3 +106,15 @@ def test_rows_of_one_id_are_spread(spark):
     # The place of a doc_id that does not come often is its hash.
     plain = timed.filter("doc_id <> 7").join(sized.select("doc_id", F.col("place").alias("was")), "doc_id")
     assert plain.count() == n and plain.filter("place <> was").count() == 0
+
+
+def test_further_columns_of_any_name_stay(spark):
+    names = ["uid", "__uid", "__at", "target", "size", "place", "a.b"]
+    docs = spark.createDataFrame([(i, "ab"[i % 2], "x y z", *[f"{c}{i}" for c in names]) for i in range(20)],
+                                 ["doc_id", "source", "text", *names])
+    got = mixing.mix(docs)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert rows and all(tuple(r)[3:] == tuple(f"{c}{r.doc_id}" for c in names) for r in rows)
+    plain = mixing.mix(docs.select("doc_id", "source", "text")).collect()
+    assert [r.doc_id for r in rows] == [r.doc_id for r in plain]
