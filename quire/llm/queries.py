@@ -3,7 +3,7 @@ can express them."""
 
 from __future__ import annotations
 
-from . import chat, decontam, linededup, mixing, neardup, secrets, tokencount, tokenfile, topk, toxicity
+from . import chat, decontam, linededup, mixing, neardup, periodic, prefixtrie, secrets, simhash, tokencount, tokenfile, topk, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -17,6 +17,9 @@ QUERIES = {
     "op9_decontamination": decontam.op9_decontamination,
     "op9_decontamination_near": decontam.op9_decontamination_near,
     "op10_top_k": topk.op10_top_k,
+    "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op12_prefix_trie": prefixtrie.op12_prefix_trie,
+    "op13_simhash": simhash.op13_simhash,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -78,4 +81,35 @@ found AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
 FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    # The CRC is XORed bit by bit; a node is the list of its turns' hashes.
+    "op12_prefix_trie": """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, length(coalesce(text, '')) AS chars, turn,
+         sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, said) AS i FROM turns),
+convs AS (
+  SELECT conv_id AS c, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+             lambda acc, x: list_reduce(range(8), lambda a, k: xor(a >> 1, (a & 1) * 3988292384), xor(acc, x)), 4294967295::BIGINT), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c, i, said, chars FROM convs JOIN own ON own.conv_id = base AND i <= h
+  UNION ALL SELECT c, i, said, chars FROM convs JOIN own ON own.conv_id = c AND i > h),
+paths AS (
+  SELECT c, row_number() OVER w AS d, list(said) OVER w AS p, chars FROM rebuilt
+  WINDOW w AS (PARTITION BY c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT c, 0, []::VARCHAR[], 0 FROM convs),
+ended AS (SELECT c, max(d) AS d FROM paths GROUP BY c),
+nodes AS (
+  SELECT p, paths.d AS d, min(c) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+         string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ended.d = paths.d) AS ends
+  FROM paths JOIN ended USING (c) GROUP BY p, paths.d),
+children AS (SELECT list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+facts AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (p)),
+sums AS (
+  SELECT list_slice(p, 1, j) AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum((n - 1) * chars) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM facts) GROUP BY 1)
+SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM facts f JOIN sums USING (p) LEFT JOIN facts up ON f.d > 0 AND up.p = list_slice(f.p, 1, f.d - 1)""",
 }
