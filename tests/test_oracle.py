@@ -6,7 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from tools.oracle_check import TABLES, frame_hash
+from tools.oracle_check import TABLES, frame, frame_hash
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -23,7 +23,7 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - {"pipeline"}))
 def test_query_matches_oracle(spark, duck, name):
-    got = frame_hash(E.queries()[name](spark, SF).toPandas())
+    got = frame_hash(frame(E.queries()[name](spark, SF)))
     exp = frame_hash(duck.execute(E.oracle_sql()[name]).fetchdf())
     assert got[:3] == exp[:3]
 
