@@ -122,11 +122,6 @@ def grouped(corr: np.ndarray, m: int) -> list[list[int]]:
     return out
 
 
-def group_count(n: int) -> int:
-    """So many groups that a value of one is rarely shared by chance among n."""
-    return int(np.clip(64 // np.ceil(np.log2(16 * max(2, n))), 2, 4))
-
-
 def values(fp: np.ndarray, groups: list[list[int]]) -> np.ndarray:
     """The value of each group (column) of each fingerprint (row)."""
     return np.stack([sum(((fp >> np.int64(b)) & np.int64(1)) << np.int64(j) for j, b in enumerate(g)) for g in groups], 1)
@@ -198,6 +193,15 @@ def thresholds(expected: np.ndarray, frequent: np.ndarray, widths: list[int]) ->
     return t, best[:, budget]
 
 
+def group_count(n: int) -> int:
+    """So many groups that n fingerprints of fair bits take the least probes and candidates."""
+    def cost(m: int) -> float:
+        widths = [(64 + k) // m for k in range(m)]
+        expected = np.array([[[n * len(_probes(w, r)) / 2.0 ** w for r in range(DIFFER + 1)] for w in widths]])
+        return float(thresholds(expected, np.zeros((1, m), bool), widths)[1][0])
+    return min((4, 3, 2), key=lambda m: round(cost(m), 1))
+
+
 def links(fps: DataFrame, n: int) -> DataFrame:
     """(u, v) rows that connect all of the n distinct fingerprints ``fp`` that
     differ in at most DIFFER bits, some of them through others."""
@@ -239,10 +243,11 @@ def links(fps: DataFrame, n: int) -> DataFrame:
             ends = np.searchsorted(x[order], np.arange(len(fp) + 1))
             yield pa.RecordBatch.from_arrays([b.column("fp"), pa.array(dense), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), asked)], ["fp", "dense", "asked"])
     planned = stored(mapped(flagged.select("fp", *[f"f{i}" for i in range(len(groups))]), plan, "fp long, dense boolean, asked array<struct<part:int,value:long>>"), "planned")
-    probes = planned.filter(~F.col("dense")).select("fp", F.explode("asked").alias("p")).select("fp", "p.part", "p.value")
+    def asked(rows: DataFrame) -> DataFrame:
+        return rows.select("fp", F.explode("asked").alias("p")).select("fp", "p.part", "p.value")
     # A wide probe may come upon a frequent value after all.
-    late = stored(probes.join(frequent, ["part", "value"]).select("fp").distinct(), "late")
-    probes = probes.join(late, "fp", "left_anti")
+    late = stored(asked(planned.filter(F.size("asked") > DIFFER + 1)).join(frequent, ["part", "value"]).select("fp").distinct(), "late")
+    probes = asked(planned.filter(~F.col("dense")).join(late, "fp", "left_anti"))
     other = index.join(frequent, ["part", "value"], "left_anti").select("part", "value", F.col("fp").alias("v"))
     found = (probes.withColumnRenamed("fp", "u").join(other, ["part", "value"])
              .filter((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= DIFFER)).select("u", "v"))

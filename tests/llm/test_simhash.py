@@ -81,6 +81,10 @@ def test_groups_hold_correlated_bits(spark):
         assert sum(((b + 32) % 64 in g) for g in groups for b in g) >= 60
 
 
+def test_group_count_takes_the_cheaper():
+    assert [simhash.group_count(n) for n in (1, 1000, 300_000, 10 ** 7, 10 ** 9, 10 ** 11)] == [4, 4, 3, 3, 2, 2]
+
+
 def test_thresholds_leave_frequent_groups_out():
     often = np.array([[False] * 3, [True, False, False], [True, True, False], [True] * 3])
     t, cost = simhash.thresholds(np.zeros((4, 3, 3)), often, [22, 21, 21])
