@@ -3,10 +3,13 @@
     python -m quire run --workspace DIR [--csv PATH ...] [--feeds PATH ...]
                         [--run-id ID] [--stream] [--reset]
     python -m quire stats --workspace DIR
+    python -m quire maintain --workspace DIR [--buckets N] [--grace-hours H]
 
 ``run`` loads each given source as one batch (or, with ``--stream``, every
 file that arrived since the last streamed batch) and prints the run reports
-and the dimension summary.  The session comes from ``spark-submit`` on a
+and the dimension summary.  ``maintain`` compacts the ledger, deals the
+dimension into another number of buckets if asked to, and removes files that
+no state of the last hours names.  The session comes from ``spark-submit`` on a
 cluster; locally a ``local[*]`` session is made.
 """
 
@@ -36,9 +39,13 @@ def main(argv=None) -> None:
                    help="drop every table of the workspace first (opt-in)")
     s = sub.add_parser("stats")
     s.add_argument("--workspace", required=True)
+    m = sub.add_parser("maintain")
+    m.add_argument("--workspace", required=True)
+    m.add_argument("--buckets", type=int, default=None)
+    m.add_argument("--grace-hours", type=float, default=24.0)
     a = ap.parse_args(argv)
 
-    from quire.operators import dimension as dim
+    from quire.plans import dimstore, retention
     from quire.plans import pipeline as pl
     from quire.session import apply_required_conf
     from quire.sources import files as fs
@@ -66,10 +73,15 @@ def main(argv=None) -> None:
                 pl.store_rejected(ws, rejected, run_id)
                 rejected.show(truncate=False)
                 pl.run_source(ws, pl.MEDIUM, entries, run_id).show(truncate=False)
-    d = pl.current_dimension(ws)
-    if d is not None:
-        dim.stats(d).show(truncate=False)
-        dim.by_platform(d).show(truncate=False)
+    if a.cmd == "maintain":
+        pl.compact_ledger(ws)
+        if a.buckets:
+            dimstore.rebucket(ws, a.buckets)
+        print(f"{len(retention.clean(ws, dt.timedelta(hours=a.grace_hours)))} folders removed")
+        return
+    # from the buckets' counts: the dimension is not read
+    dimstore.stats(ws).show(truncate=False)
+    dimstore.by_platform(ws).show(truncate=False)
     if a.cmd == "stats":
         # open quarantine: the latest record per key, grouped by reason
         pl.latest_quarantine(ws).groupBy("source_table", "validation_error").count() \

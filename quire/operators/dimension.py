@@ -67,7 +67,7 @@ def duplicate_keys(rows: DataFrame) -> DataFrame:
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, now: Column | None = None,
-           id_base: int = 0, order: str | None = None) -> DataFrame:
+           id_base: int = 0, order: str | None = None, new_id: Column | None = None) -> DataFrame:
     """Merge ``incoming`` (unique article_id) into ``existing``.
 
     ``order`` names a column of both (the staging order within a platform);
@@ -75,15 +75,17 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, now: Column | None =
 
     Matched keys take the incoming values, keep ``created_at`` and set
     ``updated_at`` = now; new keys get both timestamps = now and a fresh
-    surrogate ``id`` (``id_base`` + a unique, non-contiguous number); keys
-    not in the batch stay as they are.  One full outer join on article_id;
+    surrogate ``id`` (``id_base`` + a unique, non-contiguous number, or
+    ``new_id`` over the incoming columns); keys not in the batch stay as they
+    are.  One full outer join on article_id;
     with both sides partitioned on the key it is a co-located sort-merge."""
     now = now if now is not None else F.current_timestamp()
     kept = [order] if order else []
-    inc = incoming.select(*DIM_COLUMNS, *kept).withColumn("_in", F.lit(True))
+    fresh = F.col("_new_id") if new_id is not None else F.lit(id_base) + F.monotonically_increasing_id()
+    inc = incoming.select(*DIM_COLUMNS, *kept, *([new_id.alias("_new_id")] if new_id is not None else [])).withColumn("_in", F.lit(True))
     if existing is None:
         return inc.select(
-            (F.lit(id_base) + F.monotonically_increasing_id()).alias("id"),
+            fresh.alias("id"),
             *DIM_COLUMNS, now.alias("created_at"), now.alias("updated_at"), *kept)
     e = existing.alias("e")
     i = inc.alias("i")
@@ -96,7 +98,7 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, now: Column | None =
     vals = [F.when(hit, F.col(f"i.{c}")).otherwise(F.col(f"e.{c}")).alias(c)
             for c in DIM_VALUE_COLUMNS]
     return j.select(
-        F.coalesce(F.col("e.id"), F.lit(id_base) + F.monotonically_increasing_id()).alias("id"),
+        F.coalesce(F.col("e.id"), fresh).alias("id"),
         F.coalesce(F.col("e.article_id"), F.col("i.article_id")).alias("article_id"),
         *vals,
         F.coalesce(F.col("e.created_at"), now).alias("created_at"),

@@ -9,6 +9,7 @@ NULLs; a NULL in a non-nullable column is reported once, as ``not_nullable``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -96,6 +97,13 @@ class RuleSet:
     def column_names(self) -> list[str]:
         return [r.column for r in self.columns]
 
+    def fingerprint(self) -> str:
+        """A hash of everything that decides a verdict: another limit, pattern,
+        message, type or column order gives another one."""
+        said = [(r.column, r.nullable, r.required, r.dtype.simpleString() if r.dtype else None,
+                 [(c.name, c.sql, str(c.predicate(F.col(r.column)))) for c in r.checks]) for r in self.columns]
+        return hashlib.sha256(repr((self.table, self.strict, said)).encode()).hexdigest()
+
 
 # ---------------------------------------------------------------------------
 # The two staging rule sets (limits, patterns and messages as in

@@ -18,6 +18,8 @@ FEED_STAGING_COLUMNS = ["title", "title_detail", "summary", "summary_detail", "l
 FEED_JSON_COLUMNS = ["title_detail", "summary_detail", "tags", "authors"]
 FEED_SCALAR_COLUMNS = ["title", "summary", "link", "id_rss", "published_parsed"]
 FEED_DATE_COLUMNS = ["published", "updated"]
+#: Repeated keys that are broadcast at most, when wide rows are deduplicated.
+MOST_REPEATED = 500_000
 
 
 def _col_or_null(df: DataFrame, name: str) -> Column:
@@ -39,12 +41,12 @@ def transform_gfg(df: DataFrame, keep: Sequence[str] = ("id",)) -> DataFrame:
         F.col("category").cast("string").alias("category"))
 
 
-def transform_feed(df: DataFrame, feed_col: str | None = "feed",
-                   pos_col: str | None = "pos", keep: Sequence[str] = ()) -> DataFrame:
-    """P2 (+F4, F5, F8, A11): feed entries -> staging rows.  ``id`` becomes
-    ``id_rss``; nested fields become JSON text ('{}' when absent); dates
-    become 'YYYY-MM-DD' (NULL when unparsable); scalar text NULL -> ''; then
-    duplicates on (link, id_rss) within one feed keep the last entry."""
+def flatten_feed(df: DataFrame, feed_col: str | None = "feed",
+                 pos_col: str | None = "pos", keep: Sequence[str] = ()) -> DataFrame:
+    """P2 (+F4, F5, F8) without A11, row by row: feed entries -> staging rows.
+    ``id`` becomes ``id_rss``; nested fields become JSON text ('{}' when
+    absent); dates become 'YYYY-MM-DD' (NULL when unparsable); scalar text
+    NULL -> ''."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     cols: dict[str, Column] = {}
     for c in FEED_STAGING_COLUMNS:
@@ -58,13 +60,42 @@ def transform_feed(df: DataFrame, feed_col: str | None = "feed",
         else:
             cols[c] = _col_or_null(df, src).cast("string")
     extra = [c for c in [feed_col, pos_col, *keep] if c and c in df.columns]
-    flat = df.select(*extra, *[v.alias(k) for k, v in cols.items()])
+    return df.select(*extra, *[v.alias(k) for k, v in cols.items()])
+
+
+def feed_keys(flat: DataFrame, feed_col: str | None = "feed") -> list[str]:
+    """What tells the entries of a feed apart."""
+    return ([feed_col] if feed_col and feed_col in flat.columns else []) + ["link", "id_rss"]
+
+
+def transform_feed(df: DataFrame, feed_col: str | None = "feed",
+                   pos_col: str | None = "pos", keep: Sequence[str] = ()) -> DataFrame:
+    """``flatten_feed``; then duplicates on (link, id_rss) within one feed
+    keep the last entry (A11)."""
+    flat = flatten_feed(df, feed_col, pos_col, keep)
     if pos_col and pos_col in flat.columns:
-        keys = ([feed_col] if feed_col and feed_col in flat.columns else []) + ["link", "id_rss"]
-        flat = dedupe_keep_last(flat, keys, pos_col)
+        flat = keep_last_in_place(flat, feed_keys(flat, feed_col), pos_col)
     return flat
 
 
+def keep_last_in_place(df: DataFrame, keys: Sequence[str], order_col: str, most: int = MOST_REPEATED) -> DataFrame:
+    """A11 for wide rows: only the keys and ``order_col``, which must tell the
+    rows of a key apart, are shuffled.  The keys that repeat come back with
+    their last ``order_col`` and every earlier row of theirs is left out while
+    the wide rows are scanned.  They are counted first: none, and the rows stay
+    as they are; up to ``most``, and they are broadcast; beyond, both sides are
+    joined by a shuffle."""
+    again = (df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+               .agg(F.max(order_col).alias("_last"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).drop("_n"))
+    n = again.count()
+    if not n:
+        return df
+    earlier = F.col(order_col) < F.col("_last")
+    for i, k in enumerate(keys):
+        earlier = earlier & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return df.join(F.broadcast(again) if n <= most else again, earlier, "left_anti")
+
+
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """One row per key, the one with the greatest ``order_col``.
 

@@ -27,12 +27,11 @@ SCHEMAS = {
     "dim_articles": ("id long, article_id string, source_platform string, title string, "
                      "author string, pub_date date, link string, category string, "
                      "is_valid boolean, created_at timestamp, updated_at timestamp, _src_pk long"),
-    "dq_quarantine": ("run_timestamp timestamp, source_table string, pk_column_name string, "
+    "dq_quarantine": ("id long, run_timestamp timestamp, source_table string, pk_column_name string, "
                       "pk_value string, total_columns int, validation_error string, run_id string"),
     "ledger": LEDGER_SCHEMA + ", run_id string",
     "runs": ("run_id string, run_seq long, source_table string, at timestamp, staged long, "
-             "pending long, clean long, quarantined long, dim_rows long, dim_version long, "
-             "queue_version long, next_id long, dim_next_id long, dim_base long"),
+             "pending long, checked long, clean long, quarantined long, dim_rows long, buckets long"),
     "rejected_files": "source_file string, reason string, corrupt_records long, run_id string",
 }
 # What ``total_columns`` says in the quarantine, the width of
@@ -94,15 +93,26 @@ class Workspace:
         """K4: remove every table of the workspace (opt-in, never implicit):
         the registered tables, the dimension store, open queues and run work
         folders."""
-        for name in [*SCHEMAS, "_work", "_guard", "_checkpoints", *[f"queue_{t}" for t in STAGING_WIDTH]]:
+        for name in ["log", "log_state", *SCHEMAS, "ledger_snapshot", "_work", "_guard", "_checkpoints", *[f"queue_{t}" for t in STAGING_WIDTH]]:
             self.drop(name)
 
     # --- reads and writes ---------------------------------------------------
     def read(self, name: str) -> DataFrame:
+        if name == "runs":
+            return self._runs()
         if not self.exists(name):
             self.create(name)
         return self.spark.read.schema(schema_of(name)).parquet(self.path(name))
 
+    def _runs(self) -> DataFrame:
+        """The run reports, from the entries of the commit log."""
+        schema = schema_of("runs")
+        if not self.exists("log"):
+            return self.spark.createDataFrame([], schema)
+        fields = ", ".join(f"{f.name}: {'string' if f.name == 'at' else f.dataType.simpleString()}" for f in schema)
+        rows = self.spark.read.schema(f"report struct<{fields}>").json(self.path("log")).filter("report IS NOT NULL").select("report.*")
+        return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+
     def write(self, df: DataFrame, name: str, mode: str = "append",
               partition_by: list[str] | None = None) -> None:
         """K1: write with the registered column order and types.  Modes:
