@@ -10,7 +10,7 @@ from quire.functions.scalars import (first_author, first_tag, parse_mixed_date,
                                      platform_count_key)
 from quire.operators.rules import DIM_RULES
 from quire.operators.staging import dedupe_keep_last
-from quire.operators.validate import annotate, failure_cases
+from quire.operators.validate import annotate, check_table_level, failure_cases, violations_column
 
 # Platform labels of the two sources.
 GFG = "GFG"
@@ -61,6 +61,12 @@ def guard(rows: DataFrame) -> DataFrame:
     return failure_cases(annotate(rows.select(*DIM_COLUMNS), DIM_RULES), "article_id")
 
 
+def guard_violations(rows: DataFrame) -> Column:
+    """K1 guard as a column over ``rows``: the violations of each row."""
+    check_table_level(rows.select(*DIM_COLUMNS), DIM_RULES)
+    return violations_column(DIM_RULES, set(DIM_COLUMNS))
+
+
 def duplicate_keys(rows: DataFrame) -> DataFrame:
     """K1 guard: business keys that occur more than once."""
     return rows.groupBy("article_id").count().filter(F.col("count") > 1)

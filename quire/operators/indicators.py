@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.scalars import (ratio_pct, round_half_even, split_trim_literal,
@@ -124,9 +124,10 @@ def trends_for(df: DataFrame, keys: DataFrame, key: str = "geo",
 
 def over_threshold(df: DataFrame, year: int, threshold: float = 100.0) -> DataFrame:
     """Q-B: members whose OCC_ABS is strictly above ``threshold`` in ``year``,
-    with their whole series."""
-    over = df.filter((F.col("YEAR") == year) & (F.col("OCC_ABS") > threshold))
-    return trends_for(df, over)
+    with their whole series.  The member's rows are flagged in a window, so
+    ``df`` is made once and not joined with itself."""
+    over = F.max((F.col("YEAR") == year) & (F.col("OCC_ABS") > threshold)).over(Window.partitionBy("geo"))
+    return df.withColumn("_over", over).filter("_over").select(*TREND_COLUMNS)
 
 
 def threshold_report(df: DataFrame, year: int, threshold: float = 100.0) -> DataFrame:
@@ -150,14 +151,18 @@ def extremes_report(df: DataFrame, year: int, n: int = 10) -> DataFrame:
 def extremes(df: DataFrame, year: int, n: int = 10, direction: str = "top") -> DataFrame:
     """Q-C: "top" = the n smallest OCC_ABS in ``year``, "worst" = the n
     largest (the reference's code, not its docstring); ties keep the
-    geo-ascending order.  Top-k is TakeOrderedAndProject (n rows per
-    partition, then one merge), and its n keys are broadcast."""
+    geo-ascending order.  Each row gets its member's value of the year from a
+    window; the members are ranked by it, and each task passes on the rows of
+    its n first ones only, so ``df`` is made once and the last ranking sees n
+    members of each task."""
     if direction not in ("top", "worst"):
         raise ValueError(f"unknown direction {direction!r}: top takes the smallest values, worst the largest")
-    y = df.filter((F.col("YEAR") == year) & F.col("OCC_ABS").isNotNull())
-    order = F.col("OCC_ABS").desc() if direction == "worst" else F.col("OCC_ABS").asc()
-    keys = y.orderBy(order, F.col("geo").asc()).limit(n).select("geo")
-    return trends_for(df, keys, bounded=True)
+    best = F.max if direction == "worst" else F.min
+    value = best(F.when(F.col("YEAR") == year, F.col("OCC_ABS"))).over(Window.partitionBy("geo"))
+    order = F.col("_value").desc() if direction == "worst" else F.col("_value").asc()
+    ranked = (df.withColumn("_value", value).filter(F.col("_value").isNotNull())
+                .withColumn("_rank", F.dense_rank().over(Window.orderBy(order, F.col("geo").asc()))))
+    return ranked.filter(F.col("_rank") <= n).select(*TREND_COLUMNS)
 
 
 def assign_group(geo: Column, groups: Sequence[tuple[str, Iterable[str]]],

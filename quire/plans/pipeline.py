@@ -168,15 +168,16 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     # batch without clean rows leaves them in place)
     upsert, dim_rows = None, 0
     if c["clean"] > 0:
-        # written once: the guard, the bucket numbers and the upsert all read it
-        incoming = materialize(dim.latest_per_key(profile.to_dim(v.clean)), f"{work}/incoming")
-        # every failure is stored; the error names the table and the count
-        failures = f"{ws.root}/_guard/run_id={_escaped(run_id)}/{table}"
-        dim.guard(incoming).write.mode("overwrite").parquet(failures)
-        n_bad = spark.read.parquet(failures).count()
-        if n_bad:
-            raise val.SchemaError("dim_articles", [f"{n_bad} rows, stored in {failures}"])
-        dim_rows = incoming.count()
+        # written once, and guarded meanwhile: the bucket numbers and the upsert read it
+        in_obs = Observation("incoming")
+        latest = dim.latest_per_key(profile.to_dim(v.clean))
+        incoming = materialize(latest.observe(in_obs, F.count(F.lit(1)).alias("n"), F.count_if(F.size(dim.guard_violations(latest)) > 0).alias("bad")), f"{work}/incoming")
+        dim_rows = in_obs.get["n"]
+        if in_obs.get["bad"]:
+            # every failure is stored; the error names the table and the count
+            failures = f"{ws.root}/_guard/run_id={_escaped(run_id)}/{table}"
+            dim.guard(incoming).write.mode("overwrite").parquet(failures)
+            raise val.SchemaError("dim_articles", [f"{in_obs.get['bad']} rows, stored in {failures}"])
         new_id = F.col("_src_pk") * MOST_SOURCES + profile.number
         upsert = dimstore.Upsert(ws, incoming, now_c, new_id, f"run-{run_seq}")
 

@@ -46,6 +46,7 @@ def between(monkeypatch, run_id, act):
 
 
 def test_a_run_reads_and_writes_its_buckets_only(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(dimstore, "BUCKETS", 64)
     ws = Workspace(spark, f"{tmp_dir}/ws")
     pl.run_source(ws, pl.GFG, articles(spark, range(400)), "r1", now=NOW)
     first, before = CommitLog(ws).state(), dimension(ws)
@@ -95,6 +96,7 @@ def test_state_from_snapshot_and_tail(spark, tmp_dir):
 
 def test_two_sources_at_once(spark, tmp_dir, monkeypatch):
     """The second commit redoes the buckets that both replaced, and no others."""
+    monkeypatch.setattr(dimstore, "BUCKETS", 64)
     ws = Workspace(spark, f"{tmp_dir}/ws")
     pl.run_source(ws, pl.GFG, articles(spark, range(300)), "r1")
     upserts = []

@@ -24,10 +24,23 @@ def test_html_extraction_is_arrow_batched(spark):
     assert "ArrowEvalPython" in p and "BatchEvalPython" not in p
 
 
-def test_topk_keys_are_broadcast_and_taken_in_order(spark):
+def test_topk_is_limited_in_each_task(spark):
     p = plan(spark, "extremes_highest")
-    assert "TakeOrderedAndProject" in p or "TopK" in p or "Limit" in p
-    assert "BroadcastExchange" in p and "LeftSemi" in p
+    assert p.count("WindowGroupLimit") == 2 and "Partial" in p and "Final" in p
+
+
+@pytest.mark.parametrize("name", ["over_threshold", "extremes_lowest", "extremes_highest", "bar_data"])
+def test_trends_scan_orders_once(spark, name):
+    p = plan(spark, name)
+    assert p.count("/orders.parquet") == 1 and "LeftSemi" not in p
+
+
+@pytest.mark.parametrize("name", sorted(n for n in all_queries() if n.startswith(("dim_", "dq_")) or n in ("sql_params", "feed_staging", "unprocessed")))
+def test_no_exchange_carries_wide_text(spark, name):
+    df = E.queries()[name](spark, SF)
+    formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    blocks = [b for b in formatted.split("\n\n") if ") Exchange" in b or ") BroadcastExchange" in b]
+    assert not [b for b in blocks for wide in ("summary#", "text#", "html#") if wide in b.split("Arguments")[0]]
 
 
 def test_occupancy_needs_no_join_of_pivots(spark):
