@@ -99,10 +99,11 @@ def to_iso_date_text(c) -> Column:
 
 # --- F5 ---------------------------------------------------------------------
 def nested_to_json(c, dtype: DataType) -> Column:
-    """Struct / array / map -> compact JSON text; NULL or any other type ->
-    '{}' (the reference dumps an empty object for non-container values)."""
+    """Struct / array / map -> compact JSON text, NULL fields as null; NULL or
+    any other type -> '{}' (the reference dumps an empty object for
+    non-container values)."""
     if isinstance(dtype, (StructType, ArrayType, MapType)):
-        return F.coalesce(F.to_json(_c(c)), F.lit("{}"))
+        return F.coalesce(F.to_json(_c(c), {"ignoreNullFields": "false"}), F.lit("{}"))
     return F.lit("{}")
 
 

@@ -10,6 +10,7 @@ library's ``html.parser`` -- a small per-row helper; the rest is native.
 from __future__ import annotations
 
 import string
+import uuid
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -184,10 +185,44 @@ def prompt_messages(df: DataFrame, content_col: str = "content",
     return F.concat(first, F.coalesce(rest, F.slice(first, 1, 0)))
 
 
+CONTENT_HASH = "content_hash"
+
+
+def enrich_once(df: DataFrame, scorer: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str,
+                store: str, content: str = "content") -> DataFrame:
+    """T5, resumable: each distinct text is scored once, over all rows and all
+    runs.  ``store`` is a folder of scores by content hash; texts that it has
+    are not given to the scorer again, and new scores are added to it as a
+    part of their own, so a run that fails leaves the store as it was.
+
+    The scorer sees ``content_hash`` and ``content`` and returns content_hash
+    and its columns (``schema``).  Every row of ``df`` comes back once, with
+    the columns of its text's score (NULL for a NULL text).  One folder is for
+    one scorer and version."""
+    spark = df.sparkSession
+    columns = StructType.fromDDL(schema)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = [f"{store}/{f.getPath().getName()}" for f in fs.listStatus(p)] if fs.exists(p) else []
+    parts = [x for x in parts if not x.endswith(".tmp")]      # of a run that failed
+    rows = df.withColumn(CONTENT_HASH, F.sha2(F.col(content).cast("binary"), 256))
+    texts = rows.filter(F.col(content).isNotNull()).select(CONTENT_HASH, F.col(content).alias("content"))
+    if parts:
+        known = spark.read.schema(columns).parquet(*parts).select(CONTENT_HASH).distinct()
+        texts = texts.join(known, CONTENT_HASH, "left_anti")
+    texts = texts.groupBy(CONTENT_HASH).agg(F.first("content").alias("content"))
+    part = f"{store}/part-{uuid.uuid4().hex}"
+    texts.mapInPandas(scorer, columns).write.parquet(f"{part}.tmp")
+    fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{part}.tmp"), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(part))
+    scores = spark.read.schema(columns).parquet(*parts, part).dropDuplicates([CONTENT_HASH])
+    return rows.join(scores, CONTENT_HASH, "left").drop(CONTENT_HASH)
+
+
 def enrich(df: DataFrame, scorer: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
            schema: str, key: str = "article_id") -> DataFrame:
     """T5: run a user scorer over Arrow batches (``mapInPandas``) and join
     its output back on ``key``; the scorer must return ``key`` plus its
-    own columns."""
-    scores = df.mapInPandas(scorer, schema)
+    own columns.  Of several scores of one key the first is taken, so rows
+    do not multiply."""
+    scores = df.mapInPandas(scorer, schema).dropDuplicates([key])
     return df.join(scores, key, "left")

@@ -28,7 +28,7 @@ class SchemaError(ValueError):
     def __init__(self, table: str, failures: list[tuple[str, str, str]]):
         self.table = table
         self.failures = failures
-        super().__init__(f"Critical schema validation failure for {table}: {failures}")
+        super().__init__(f"{table}: the table does not have the columns its rules ask for: {failures}")
 
 
 def table_level_failures(df: DataFrame, rules: RuleSet) -> list[tuple[str, str, str]]:

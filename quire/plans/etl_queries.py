@@ -13,7 +13,8 @@ from quire.operators import dimension as dim
 from quire.operators import ledger as led
 from quire.operators import staging as stg
 from quire.operators import validate as val
-from quire.operators.rules import GFG_RULES, MEDIUM_RULES, NOT_NULLABLE, RuleSet
+from quire.operators import profile as prof
+from quire.operators.rules import GFG_RULES, MEDIUM_RULES
 from quire.plans import testdata as td
 
 T0 = "2024-01-01 00:00:00"
@@ -38,6 +39,12 @@ def feed_validation(spark, sf):
     return val.validate(feed_staging(spark, sf), MEDIUM_RULES, "id")
 
 
+def broken_validations(spark, sf):
+    """Both sources, with every check failing somewhere."""
+    return (val.validate(td.broken_articles(art_staging(spark, sf)), GFG_RULES, "id"),
+            val.validate(td.broken_feed(feed_staging(spark, sf)), MEDIUM_RULES, "id"))
+
+
 def dim_gfg_rows(spark, sf):
     return dim.gfg_to_dim(art_validation(spark, sf).clean)
 
@@ -141,6 +148,38 @@ def q_dq_report(spark, sf):
     return val.dq_report(q_dq_failures(spark, sf))
 
 
+def _both(validations, part):
+    a, b = (part(v).withColumn("source_table", F.lit(v.rules.table)) for v in validations)
+    return a.unionByName(b)
+
+
+def q_dq_broken_failures(spark, sf):
+    return _both(broken_validations(spark, sf), lambda v: v.failures)
+
+
+def q_dq_broken_report(spark, sf):
+    return val.dq_report(q_dq_broken_failures(spark, sf))
+
+
+def q_dq_broken_count(spark, sf):
+    return _both(broken_validations(spark, sf), lambda v: val.failure_count(v.annotated))
+
+
+def q_dq_broken_quarantine(spark, sf):
+    return _both(broken_validations(spark, sf), lambda v: v.quarantine())
+
+
+def q_dq_broken_clean(spark, sf):
+    return _both(broken_validations(spark, sf), lambda v: v.clean.select("id", "title", "link"))
+
+
+def q_dq_profile(spark, sf):
+    """Profiles of four runs, merged from their rows; the exact part."""
+    def runs(v):
+        return prof.batch_profile(v.annotated.withColumn("run_id", F.col("id") % 4), v.rules, ["run_id"])
+    return prof.readable(prof.merge_profiles(_both(broken_validations(spark, sf), runs))).select("source_table", "column", *prof.EXACT)
+
+
 def q_dq_completeness(spark, sf):
     return val.completeness(art_staging(spark, sf), stg.GFG_STAGING_COLUMNS)
 
@@ -221,6 +260,13 @@ def q_dim_recent(spark, sf):
                                                                     "title", "pub_date")
 
 
+def q_dim_latest(spark, sf):
+    """The latest 20 of a dimension whose feeds were loaded a month after the articles."""
+    d = dim.upsert(None, dim.latest_per_key(dim_gfg_rows(spark, sf)), F.lit(T0).cast("timestamp"))
+    d = dim.upsert(d, dim.latest_per_key(dim_feed_rows(spark, sf)), F.lit(T1).cast("timestamp"))
+    return dim.recent(d, 20).select("article_id", "source_platform", "title", "created_at")
+
+
 def q_sql_params(spark, sf):
     d = dim_loaded(spark, sf).select(*dim.DIM_COLUMNS)
     return spark.sql(
@@ -245,6 +291,12 @@ QUERIES = {
     "dq_clean": q_dq_clean,
     "dq_report": q_dq_report,
     "dq_completeness": q_dq_completeness,
+    "dq_broken_failures": q_dq_broken_failures,
+    "dq_broken_report": q_dq_broken_report,
+    "dq_broken_count": q_dq_broken_count,
+    "dq_broken_quarantine": q_dq_broken_quarantine,
+    "dq_broken_clean": q_dq_broken_clean,
+    "dq_profile": q_dq_profile,
     "dim_gfg": q_dim_gfg,
     "dim_feed": q_dim_feed,
     "dim_union": q_dim_union,
@@ -259,6 +311,7 @@ QUERIES = {
     "dim_platform_counts": q_dim_platform_counts,
     "dim_top_categories": q_dim_top_categories,
     "dim_recent": q_dim_recent,
+    "dim_latest": q_dim_latest,
     "sql_params": q_sql_params,
 }
 
@@ -291,35 +344,79 @@ art_stg AS (
   FROM pages)"""
 
 
-def _fail_selects(rules: RuleSet, src: str) -> list[tuple[str, str, str, str]]:
-    """(column, check, failed-predicate SQL, failure_case SQL) per rule."""
-    out = []
-    for r in rules.columns:
-        c = f'"{r.column}"'
-        if not r.nullable:
-            out.append((r.column, NOT_NULLABLE, f"{c} IS NULL", "NULL"))
-        for chk in r.checks:
-            pred = chk.sql.replace("{c}", c)
-            out.append((r.column, chk.name, f"{c} IS NOT NULL AND NOT coalesce({pred}, false)", c))
-    return out
-
-
-def _failures_sql(rules: RuleSet, src: str) -> str:
-    parts = [f"SELECT '{rules.table}' AS source_table, CAST(id AS VARCHAR) AS pk_value, "
-             f"'{col}' AS \"column\", '{chk}' AS \"check\", CAST({fc} AS VARCHAR) AS failure_case "
-             f"FROM {src} WHERE {pred}"
-             for col, chk, pred, fc in _fail_selects(rules, src)]
-    return "\nUNION ALL\n".join(parts)
-
-
-def _any_failed(rules: RuleSet, src: str, column: str | None = None) -> str:
-    preds = [p for col, _c, p, _f in _fail_selects(rules, src) if column is None or col == column]
-    return "(" + " OR ".join(f"({p})" for p in preds) + ")" if preds else "false"
+# The two rule tables as SQL, written out: (column, check, condition under
+# which it fails).  Not derived from the RuleSets that they test.
+_ART_FAILS = [
+    ("article_id", "not_nullable", "article_id IS NULL"),
+    ("article_id", "article_id cannot be empty", "article_id = ''"),
+    ("title", "not_nullable", "title IS NULL"),
+    ("title", "title too short", "length(title) < 6"),
+    ("title", "title too long", "length(title) > 200"),
+    ("author_id", "invalid author_id format", "NOT regexp_full_match(author_id, '[a-zA-Z0-9_-]+')"),
+    ("last_updated", "invalid datetime format", "NOT regexp_full_match(last_updated, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}')"),
+    ("link", "missing valid URL", "NOT regexp_matches(link, 'https?://[a-zA-Z0-9.-]+[.][a-zA-Z]{2,}')"),
+]
+_FEED_FAILS = [
+    ("id_rss", "not_nullable", "id_rss IS NULL"),
+    ("id_rss", "id_rss cannot be empty", "id_rss = ''"),
+    ("title", "not_nullable", "title IS NULL"),
+    ("title", "title too short", "length(title) < 3"),
+    ("title", "title too long", "length(title) > 500"),
+    ("title_detail", "title_detail must be valid JSON format", "left(title_detail, 1) NOT IN ('{', '[')"),
+    ("summary", "summary too long", "length(summary) > 5000"),
+    ("summary_detail", "summary_detail must be valid JSON format", "left(summary_detail, 1) NOT IN ('{', '[')"),
+    ("link", "missing valid URL", "NOT regexp_matches(link, 'https?://[a-zA-Z0-9.-]+[.][a-zA-Z]{2,}')"),
+    ("published", "published must be in format YYYY-MM-DD", "NOT regexp_full_match(published, '[0-9]{4}-[0-9]{2}-[0-9]{2}')"),
+    ("published_parsed", "published_parsed too long", "length(published_parsed) > 200"),
+    ("updated", "updated must be in format YYYY-MM-DD", "NOT regexp_full_match(updated, '[0-9]{4}-[0-9]{2}-[0-9]{2}')"),
+    ("tags", "tags must be valid JSON array", "left(tags, 1) <> '['"),
+    ("authors", "authors must be valid JSON array", "left(authors, 1) <> '['"),
+]
+_ART_TABLE, _FEED_TABLE = "stg_gfg_articles", "stg_medium_articles"
+
+
+def _failures_sql(fails: list, table: str, src: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS source_table, CAST(id AS VARCHAR) AS pk_value, '{col}' AS \"column\", '{check}' AS \"check\", CAST({col} AS VARCHAR) AS failure_case "
+        f"FROM {src} WHERE {failed}" for col, check, failed in fails)
+
+
+def _any_failed(fails: list, column: str | None = None) -> str:
+    return "coalesce(" + " OR ".join(f"({f})" for col, _, f in fails if column in (None, col)) + ", false)" if fails else "false"
+
+
+def _quarantine_sql(fails: list, table: str, src: str, n_columns: int) -> str:
+    cases = ", ".join(f"CASE WHEN {_any_failed(fails, c)} THEN '{c}' END" for c in dict.fromkeys(c for c, _, _ in fails))
+    return f"""SELECT '{table}' AS source_table, 'id' AS pk_column_name, CAST(id AS VARCHAR) AS pk_value,
+       CAST({n_columns} AS INTEGER) AS total_columns, 'Failed columns: ' || concat_ws(', ', {cases}) AS validation_error
+FROM {src} WHERE {_any_failed(fails)}"""
+
+
+# The staging rows that td.broken_articles and td.broken_feed make, written out.
+_BROKEN = """
+art_bad AS (SELECT * REPLACE (
+    CASE id % 20 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE article_id END AS article_id,
+    CASE id % 20 WHEN 2 THEN NULL WHEN 3 THEN 'short' WHEN 4 THEN repeat('t', 201) WHEN 8 THEN 'abc' WHEN 10 THEN 'sixsix' WHEN 11 THEN repeat('t', 200) ELSE title END AS title,
+    CASE id % 20 WHEN 5 THEN 'a b' WHEN 9 THEN NULL WHEN 13 THEN 'ok_-9' ELSE author_id END AS author_id,
+    CASE id % 20 WHEN 6 THEN '2024-1-2' WHEN 12 THEN NULL ELSE last_updated END AS last_updated,
+    CASE id % 20 WHEN 7 THEN 'ftp://x' WHEN 8 THEN 'none' WHEN 14 THEN 'see https://ex.org/x' ELSE link END AS link) FROM art_stg),
+feed_bad AS (SELECT * REPLACE (
+    CASE id % 40 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE id_rss END AS id_rss,
+    CASE id % 40 WHEN 2 THEN NULL WHEN 3 THEN 'ab' WHEN 4 THEN repeat('t', 501) WHEN 18 THEN 'x' WHEN 19 THEN 'abc' WHEN 20 THEN repeat('t', 500) ELSE title END AS title,
+    CASE id % 40 WHEN 5 THEN 'x' WHEN 14 THEN '[' ELSE title_detail END AS title_detail,
+    CASE id % 40 WHEN 6 THEN repeat('s', 5001) WHEN 15 THEN repeat('s', 5000) ELSE summary END AS summary,
+    CASE id % 40 WHEN 7 THEN '' ELSE summary_detail END AS summary_detail,
+    CASE id % 40 WHEN 8 THEN 'nolink' ELSE link END AS link,
+    CASE id % 40 WHEN 9 THEN '2024/01/01' WHEN 16 THEN NULL ELSE published END AS published,
+    CASE id % 40 WHEN 10 THEN repeat('p', 201) WHEN 21 THEN repeat('p', 200) ELSE published_parsed END AS published_parsed,
+    CASE id % 40 WHEN 11 THEN 'soon' ELSE updated END AS updated,
+    CASE id % 40 WHEN 12 THEN '{}' WHEN 17 THEN NULL WHEN 18 THEN '{' ELSE tags END AS tags,
+    CASE id % 40 WHEN 13 THEN 'Ann' WHEN 18 THEN '' ELSE authors END AS authors) FROM feed_stg)"""
 
 
 _DIM = f"""
-art_clean AS (SELECT * FROM art_stg WHERE NOT {_any_failed(GFG_RULES, 'art_stg')}),
-feed_clean AS (SELECT * FROM feed_stg WHERE NOT {_any_failed(MEDIUM_RULES, 'feed_stg')}),
+art_clean AS (SELECT * FROM art_stg WHERE NOT {_any_failed(_ART_FAILS)}),
+feed_clean AS (SELECT * FROM feed_stg WHERE NOT {_any_failed(_FEED_FAILS)}),
 dim_g AS (
   SELECT article_id, 'GFG' AS source_platform, title, author_id AS author,
          CAST(substr(last_updated, 1, 10) AS DATE) AS pub_date, link, category,
@@ -349,22 +446,24 @@ _WD = f"{_W}, {_DIM}"
 _DIMCOLS = "article_id, source_platform, title, author, pub_date, link, category, is_valid"
 
 
-def _quarantine_sql() -> str:
-    cols = [r.column for r in MEDIUM_RULES.columns]
-    cases = ", ".join(f"CASE WHEN {_any_failed(MEDIUM_RULES, 'feed_stg', c)} THEN '{c}' END"
-                      for c in cols if _any_failed(MEDIUM_RULES, 'feed_stg', c) != "false")
-    ncols = 13  # feed, id + the 11 staging columns
-    return f"""{_W}
-SELECT '{MEDIUM_RULES.table}' AS source_table, 'id' AS pk_column_name, CAST(id AS VARCHAR) AS pk_value,
-       CAST({ncols} AS INTEGER) AS total_columns,
-       '{val.FAILED_PREFIX}' || concat_ws(', ', {cases}) AS validation_error
-FROM feed_stg WHERE {_any_failed(MEDIUM_RULES, 'feed_stg')}"""
-
-
 _FAILURES = f"""{_W}, failures AS (
-{_failures_sql(GFG_RULES, 'art_stg')}
+{_failures_sql(_ART_FAILS, _ART_TABLE, 'art_stg')}
+UNION ALL
+{_failures_sql(_FEED_FAILS, _FEED_TABLE, 'feed_stg')})"""
+_WB = f"{_W}, {_BROKEN}"
+_BROKEN_FAILURES = f"""{_WB}, failures AS (
+{_failures_sql(_ART_FAILS, _ART_TABLE, 'art_bad')}
 UNION ALL
-{_failures_sql(MEDIUM_RULES, 'feed_stg')})"""
+{_failures_sql(_FEED_FAILS, _FEED_TABLE, 'feed_bad')})"""
+
+
+def _profile_sql(fails: list, table: str, src: str, columns: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{table}' AS source_table, '{c}' AS "column", count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_null,
+  (SELECT count(*) FROM failures f WHERE f.source_table = '{table}' AND f."column" = '{c}') AS n_failures,
+  min(length({c}))::INTEGER AS min_length, max(length({c}))::INTEGER AS max_length FROM {src}""" for c in columns)
+
+
 
 ORACLE = {
     "url_slug": "SELECT page_id, url, string_split(url, '/')[-2] AS article_id FROM pages",
@@ -401,12 +500,38 @@ SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS VALU
 SELECT doc_id, text, lang, source, n_chars FROM documents
 QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id DESC) = 1""",
     "dq_failures": f"{_FAILURES} SELECT * FROM failures",
-    "dq_failure_count": f"""{_W}, f AS ({_failures_sql(MEDIUM_RULES, 'feed_stg')})
+    "dq_failure_count": f"""{_W}, f AS ({_failures_sql(_FEED_FAILS, _FEED_TABLE, 'feed_stg')})
 SELECT (SELECT count(*) FROM f) AS n_failures,
        (SELECT count(DISTINCT pk_value) FROM f) AS n_failed_rows,
        (SELECT count(*) FROM feed_stg) AS n_rows""",
-    "dq_quarantine": _quarantine_sql(),
-    "dq_clean": f"{_W} SELECT * FROM feed_stg WHERE NOT {_any_failed(MEDIUM_RULES, 'feed_stg')}",
+    # feed, id and the 11 staging columns
+    "dq_quarantine": f"{_W} {_quarantine_sql(_FEED_FAILS, _FEED_TABLE, 'feed_stg', 13)}",
+    "dq_broken_failures": f"{_BROKEN_FAILURES} SELECT * FROM failures",
+    "dq_broken_report": f"""{_BROKEN_FAILURES}
+SELECT source_table, "column", "check", count(*) AS n_failures FROM failures
+GROUP BY source_table, "column", "check\"""",
+    "dq_broken_count": f"""{_BROKEN_FAILURES}
+SELECT '{_ART_TABLE}' AS source_table, count(*) AS n_failures, count(DISTINCT pk_value) AS n_failed_rows, (SELECT count(*) FROM art_bad) AS n_rows
+FROM failures WHERE source_table = '{_ART_TABLE}'
+UNION ALL SELECT '{_FEED_TABLE}', count(*), count(DISTINCT pk_value), (SELECT count(*) FROM feed_bad) FROM failures WHERE source_table = '{_FEED_TABLE}'""",
+    "dq_broken_quarantine": f"""{_WB}
+{_quarantine_sql(_ART_FAILS, _ART_TABLE, 'art_bad', 7)}
+UNION ALL
+{_quarantine_sql(_FEED_FAILS, _FEED_TABLE, 'feed_bad', 13)}""",
+    "dq_broken_clean": f"""{_WB}
+SELECT '{_ART_TABLE}' AS source_table, id, title, link FROM art_bad WHERE NOT {_any_failed(_ART_FAILS)}
+UNION ALL SELECT '{_FEED_TABLE}', id, title, link FROM feed_bad WHERE NOT {_any_failed(_FEED_FAILS)}""",
+    "dq_profile": f"""{_BROKEN_FAILURES}
+{_profile_sql(_ART_FAILS, _ART_TABLE, 'art_bad', ["article_id", "title", "author_id", "last_updated", "link", "category"])}
+UNION ALL
+{_profile_sql(_FEED_FAILS, _FEED_TABLE, 'feed_bad', ["id_rss", "title", "title_detail", "summary", "summary_detail", "link", "published", "published_parsed", "updated", "tags", "authors"])}""",
+    "dim_latest": f"""{_WD}
+SELECT coalesce(f.article_id, g.article_id) AS article_id, CASE WHEN f.article_id IS NOT NULL THEN 'Medium' ELSE 'GFG' END AS source_platform,
+       CASE WHEN f.article_id IS NOT NULL THEN f.title ELSE g.title END AS title,
+       CASE WHEN g.article_id IS NOT NULL THEN TIMESTAMP '{T0}' ELSE TIMESTAMP '{T1}' END AS created_at
+FROM g_last g FULL OUTER JOIN f_last f ON g.article_id = f.article_id
+ORDER BY created_at DESC, article_id LIMIT 20""",
+    "dq_clean": f"{_W} SELECT * FROM feed_stg WHERE NOT {_any_failed(_FEED_FAILS)}",
     "dq_report": f"""{_FAILURES}
 SELECT source_table, "column", "check", count(*) AS n_failures FROM failures
 GROUP BY source_table, "column", "check\"""",
@@ -427,7 +552,7 @@ GROUP BY article_id HAVING count(*) > 1""",
     "ledger_state": f"""
 WITH led AS (SELECT CAST(doc_id AS VARCHAR) AS pk_value, 'processed' AS state, 1 AS run_seq FROM labels
              UNION ALL SELECT CAST(doc_id AS VARCHAR), 'open', 2 FROM labels WHERE toxic = 1)
-SELECT '{MEDIUM_RULES.table}' AS source_table, pk_value, arg_max(state, run_seq) AS state
+SELECT '{_FEED_TABLE}' AS source_table, pk_value, arg_max(state, run_seq) AS state
 FROM led GROUP BY pk_value""",
     "dim_load": f"{_WD} SELECT * FROM dim_all",
     "dim_upsert": f"""{_WD},

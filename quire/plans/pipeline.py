@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import dimension as dim
 from quire.operators import ledger as led
+from quire.operators import profile as prof
 from quire.operators import staging as stg
 from quire.operators import validate as val
 from quire.operators.rules import GFG_RULES, MEDIUM_RULES, RuleSet
@@ -164,6 +165,9 @@ def run_source(ws: Workspace, profile: SourceProfile, raw: DataFrame, run_id: st
     ws.write_run(q.withColumn("id", F.xxhash64("source_table", "pk_value", "run_id")), "dq_quarantine", source_table=table, run_id=run_id)
     parked = _QueueChange(ws, table, checked, v.failed.select(*staging_cols, F.lit(rules).alias("_rules")), f"run-{run_seq}") if c["n"] else None
 
+    ws.write_run(prof.batch_profile(checked.filter(F.col("run_id") == run_id), profile.rules).withColumn("source_table", F.lit(table)).withColumn("run_id", F.lit(run_id)),
+                 "dq_profile", source_table=table, run_id=run_id)
+
     # 7. dimension: dedupe in batch, guard, upsert of the touched buckets (a
     # batch without clean rows leaves them in place)
     upsert, dim_rows = None, 0
@@ -252,6 +256,12 @@ def compact_ledger(ws: Workspace) -> State:
     return CommitLog(ws).commit(entry)
 
 
+def quality_profile(ws: Workspace) -> DataFrame:
+    """The staged batches of all committed runs as one profile for each column."""
+    runs = committed_runs(ws).select("run_id", "source_table")
+    return prof.readable(prof.merge_profiles(ws.read("dq_profile").join(runs, ["run_id", "source_table"], "left_semi")))
+
+
 def unprocessed(ws: Workspace, table: str) -> DataFrame:
     """The staging rows of committed runs that are not processed."""
     return led.unprocessed(ws.read(table), ledger_entries(ws), table)

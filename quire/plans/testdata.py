@@ -123,3 +123,35 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:00:00.000Z")).alias("updated"),
         tags.alias("tags"),
         F.array(F.struct(F.col("source").alias("name"))).alias("authors"))
+
+
+def broken_articles(staging: DataFrame) -> DataFrame:
+    """Article staging rows in which every check fails for some id (by its
+    remainder modulo 20), and values at the limits pass."""
+    r = F.col("id") % 20
+    return (staging
+            .withColumn("article_id", F.when(r == 0, F.lit(None)).when(r == 1, "").otherwise(F.col("article_id")))
+            .withColumn("title", F.when(r == 2, F.lit(None)).when(r == 3, "short").when(r == 4, F.repeat(F.lit("t"), 201)).when(r == 8, "abc")
+                        .when(r == 10, "sixsix").when(r == 11, F.repeat(F.lit("t"), 200)).otherwise(F.col("title")))
+            .withColumn("author_id", F.when(r == 5, "a b").when(r == 9, F.lit(None)).when(r == 13, "ok_-9").otherwise(F.col("author_id")))
+            .withColumn("last_updated", F.when(r == 6, "2024-1-2").when(r == 12, F.lit(None)).otherwise(F.col("last_updated")))
+            .withColumn("link", F.when(r == 7, "ftp://x").when(r == 8, "none").when(r == 14, "see https://ex.org/x").otherwise(F.col("link"))))
+
+
+def broken_feed(staging: DataFrame) -> DataFrame:
+    """Feed staging rows in which every check fails for some id (by its
+    remainder modulo 40), and values at the limits pass."""
+    r, c = F.col("id") % 40, F.col
+    return (staging
+            .withColumn("id_rss", F.when(r == 0, F.lit(None)).when(r == 1, "").otherwise(c("id_rss")))
+            .withColumn("title", F.when(r == 2, F.lit(None)).when(r == 3, "ab").when(r == 4, F.repeat(F.lit("t"), 501)).when(r == 18, "x")
+                        .when(r == 19, "abc").when(r == 20, F.repeat(F.lit("t"), 500)).otherwise(c("title")))
+            .withColumn("title_detail", F.when(r == 5, "x").when(r == 14, "[").otherwise(c("title_detail")))
+            .withColumn("summary", F.when(r == 6, F.repeat(F.lit("s"), 5001)).when(r == 15, F.repeat(F.lit("s"), 5000)).otherwise(c("summary")))
+            .withColumn("summary_detail", F.when(r == 7, "").otherwise(c("summary_detail")))
+            .withColumn("link", F.when(r == 8, "nolink").otherwise(c("link")))
+            .withColumn("published", F.when(r == 9, "2024/01/01").when(r == 16, F.lit(None)).otherwise(c("published")))
+            .withColumn("published_parsed", F.when(r == 10, F.repeat(F.lit("p"), 201)).when(r == 21, F.repeat(F.lit("p"), 200)).otherwise(c("published_parsed")))
+            .withColumn("updated", F.when(r == 11, "soon").otherwise(c("updated")))
+            .withColumn("tags", F.when(r == 12, "{}").when(r == 17, F.lit(None)).when(r == 18, "{").otherwise(c("tags")))
+            .withColumn("authors", F.when(r == 13, "Ann").when(r == 18, "").otherwise(c("authors"))))

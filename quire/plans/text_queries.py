@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quire.functions.scalars import clean_text
 from quire.operators import textprep as tp
 from quire.plans import testdata as td
+from quire.session import ensure_checkpoint_dir
 
 SYSTEM_PROMPT = "You rate the quality of an article and answer in JSON."
 USER_TEMPLATE = "Article ({len_content} characters):\n\n{content}"
@@ -41,7 +44,23 @@ def q_prompt_messages(spark, sf):
                     F.coalesce("msg.content", "reject_reason").alias("content"))
 
 
+def _vowels(frames):
+    """A scorer: how many of a, e, i, o and u a text has."""
+    for f in frames:
+        yield f.assign(vowels=f["content"].str.count("[aeiou]").astype("int64"))[["content_hash", "vowels"]]
+
+
+def q_enrich_once(spark, sf):
+    """T5 in two runs over one store: the second scores what the first has not."""
+    docs = td.table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
+    store = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire-scores/{uuid.uuid4().hex}"
+    schema = "content_hash string, vowels long"
+    tp.enrich_once(docs.filter("doc_id % 2 = 0"), _vowels, schema, store)
+    return tp.enrich_once(docs, _vowels, schema, store).select("doc_id", "vowels")
+
+
 QUERIES = {
+    "enrich_once": q_enrich_once,
     "text_cleanup": q_text_cleanup,
     "page_main_text": q_page_main_text,
     "min_length_gate": q_min_length_gate,
@@ -97,6 +116,7 @@ picked AS (
 cleaned AS (SELECT page_id, url, content_source, trim(regexp_replace(text, '{_WS}', ' ', 'g')) AS c FROM picked)"""
 
 ORACLE = {
+    "enrich_once": "SELECT doc_id, length(regexp_replace(text, '[^aeiou]', '', 'g')) AS vowels FROM documents",
     "text_cleanup": f"WITH {_CLEAN} SELECT doc_id, content FROM docs",
     "page_main_text": f"""WITH {_PAGES}
 SELECT page_id, url, c AS content, content_source FROM cleaned""",

@@ -179,15 +179,30 @@ def _judge(batches):
         yield row(name, markup)
 
 
+def empty_files(spark: SparkSession, paths) -> list[str]:
+    """The files of no bytes among the paths (files, folders or globs)."""
+    jvm, conf, out = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
+    paths = _paths(paths)
+    for path in [paths] if isinstance(paths, str) else paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        for found in fs.globStatus(p) or []:
+            for f in fs.listStatus(found.getPath()) if found.isDirectory() else [found]:
+                if f.isFile() and f.getLen() == 0 and not str(f.getPath().getName()).startswith(("_", ".")):
+                    out.append(str(f.getPath().toUri().toString()))
+    return out
+
+
 def feed_files(spark: SparkSession, paths) -> DataFrame:
     """One row for each landed file: its first element, the parser's ``error``
     (NULL if the whole file is well-formed) and what else is wrong with the
     file (``fault``: NULL if nothing is).  The lines are read in splits; each
     file's are then parsed in order by one task, as a stream, so that no file
-    has to fit in memory.  Files of no bytes are in no Spark scan and so not
-    listed."""
+    has to fit in memory.  Files of no bytes, which are in no Spark scan, are
+    listed from the file system."""
     listed = spark.read.format("binaryFile").load(_paths(paths)).select(
         F.col("_metadata.file_path").alias("_source_file"))
+    listed = listed.unionByName(spark.createDataFrame([(f,) for f in empty_files(spark, paths)], "_source_file string")).distinct()
     lines = with_position(spark.read.option("lineSep", "\n").text(_paths(paths)))
     ends = (lines.select("_source_file", "_pos", F.col("value").cast("binary").alias("line"))
             .repartition("_source_file").sortWithinPartitions("_source_file", "_pos").select("_source_file", "line")

@@ -32,6 +32,8 @@ SCHEMAS = {
     "ledger": LEDGER_SCHEMA + ", run_id string",
     "runs": ("run_id string, run_seq long, source_table string, at timestamp, staged long, "
              "pending long, checked long, clean long, quarantined long, dim_rows long, buckets long"),
+    "dq_profile": ("source_table string, column string, n_rows long, n_null long, n_failures long, min_length int, "
+                   "max_length int, distinct_sketch binary, length_sketch binary, run_id string"),
     "rejected_files": "source_file string, reason string, corrupt_records long, run_id string",
 }
 # What ``total_columns`` says in the quarantine, the width of

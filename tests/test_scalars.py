@@ -95,3 +95,9 @@ def test_clean_text_limits_on_request(spark):
 def test_na_tokens(spark):
     got = one_col(spark, ["NA", "null", "N/A", "ok", "nan", ""], S.na_to_null)
     assert got == [None, None, None, "ok", None, None]
+
+
+def test_null_fields_stay_in_json(spark):
+    df = spark.sql("SELECT named_struct('a', CAST(NULL AS string), 'b', 1) AS x, array(named_struct('t', CAST(NULL AS string))) AS y")
+    got = df.select(*[S.nested_to_json(F.col(c), df.schema[c].dataType).alias(c) for c in ("x", "y")]).first()
+    assert tuple(got) == ('{"a":null,"b":1}', '[{"t":null}]')

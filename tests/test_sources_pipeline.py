@@ -138,6 +138,16 @@ def test_atom_entries_and_malformed_files(spark, tmp_dir):
         assert {os.path.basename(r._source_file): r.reason for r in rejected.collect()} == REASONS
 
 
+def test_files_of_no_bytes_are_rejected(spark, tmp_dir):
+    land(tmp_dir)
+    for name in ("none.xml", "_hidden.xml"):
+        open(f"{tmp_dir}/feeds/{name}", "w").close()
+    entries, rejected = fs.read_feeds(spark, f"{tmp_dir}/feeds")
+    assert {os.path.basename(r._source_file): r.reason for r in rejected.collect()} == {"none.xml": "no element", "broken.xml": "records not parsed"}
+    assert entries.count() == 3
+    assert [os.path.basename(f) for f in fs.empty_files(spark, [f"{tmp_dir}/feeds/*.xml"])] == ["none.xml"]
+
+
 def test_older_reopened_row_replaces_no_newer_one(spark, tmp_dir):
     land(tmp_dir)
     ws = Workspace(spark, f"{tmp_dir}/ws")

@@ -70,3 +70,54 @@ def test_long_texts_go_on_in_further_user_messages(spark):
     rows = df.select(tp.prompt_messages(df, "content", "sys", "{content}").alias("m")).collect()
     assert [len(r.m) for r in rows] == [4, 2, 2]
     assert "".join(m.content for m in rows[0].m[1:]) == text and {m.role for m in rows[0].m[1:]} == {"user"}
+
+
+def counting(calls):
+    def scorer(frames):
+        for f in frames:
+            with open(calls, "a") as log:
+                log.writelines(f"{h}\n" for h in f["content_hash"])
+            yield f.assign(n=f["content"].str.len().astype("int64"))[["content_hash", "n"]]
+    return scorer
+
+
+def test_each_text_is_scored_once(spark, tmp_dir):
+    calls, store = f"{tmp_dir}/calls", f"{tmp_dir}/store"
+    schema = "content_hash string, n long"
+
+    def score(rows):
+        df = spark.createDataFrame(rows, "article_id string, content string").repartition(3)
+        return sorted(map(tuple, tp.enrich_once(df, counting(calls), schema, store).collect()), key=repr)
+
+    def scored():
+        with open(calls) as f:
+            return f.read().split()
+    rows = [("k1", "one"), ("k1", "one"), ("k2", "one"), ("k3", "three"), ("k4", None), (None, "")]
+    want = sorted([(k, c, None if c is None else len(c)) for k, c in rows], key=repr)
+    assert score(rows) == want and len(scored()) == 3
+    assert score(rows) == want and len(scored()) == 3          # nothing is scored again
+    more = [*rows, ("k9", "nine"), ("k9", "nine")]
+    assert score(more) == sorted([(k, c, None if c is None else len(c)) for k, c in more], key=repr) and len(scored()) == 4
+
+
+def test_failed_scorer_leaves_the_store(spark, tmp_dir):
+    import pytest
+    df = spark.createDataFrame([("k", "x")], "article_id string, content string")
+
+    def fails(frames):
+        for _ in frames:
+            raise RuntimeError("no answer")
+        yield
+    with pytest.raises(Exception, match="no answer"):
+        tp.enrich_once(df, fails, "content_hash string, n long", f"{tmp_dir}/store")
+    calls = f"{tmp_dir}/calls"
+    assert [r.n for r in tp.enrich_once(df, counting(calls), "content_hash string, n long", f"{tmp_dir}/store").collect()] == [1]
+
+
+def test_repeated_keys_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([("k", "x"), ("k", "x")], "article_id string, content string")
+
+    def scorer(frames):
+        for f in frames:
+            yield f.assign(score=1.0)[["article_id", "score"]]
+    assert tp.enrich(df, scorer, "article_id string, score double").count() == 2
