@@ -92,17 +92,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD
     # The row's own hash spreads equal ids and equal vectors.
     side = vectors.select("vec_id", "v", F.size("v").alias("dims"), F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard"),
                           F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    asked = queries.select("vec_id", "v", F.size("v").alias("dims"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
+    asked = queries.select("vec_id", "v", F.xxhash64("v").alias("query"), F.size("v").alias("dims"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
                            F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": [], "query": []}
         if len(left) and len(right):
             lists = Lists(np.stack(left["v"].to_numpy()).astype(np.int64).reshape(len(left), -1), left["vec_id"].to_numpy(np.int64))
-            for own, q in zip(right["vec_id"], right["v"], strict=True):
+            for own, q, query in zip(right["vec_id"], right["v"], right["query"], strict=True):
                 ids, scores = lists.search(np.asarray(q, np.int64), own, k)
                 out["query_id"].append(np.full(len(ids), own))
-                out["query"].append(np.full(len(ids), hash(tuple(q.tolist() if hasattr(q, "tolist") else q))))
+                out["query"].append(np.full(len(ids), query))
                 out["vec_id"].append(ids)
                 out["score"].append(scores)
         return pd.DataFrame({c: np.concatenate(v).astype(np.int64) if v else np.zeros(0, np.int64) for c, v in out.items()})

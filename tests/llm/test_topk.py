@@ -57,3 +57,16 @@ def test_given_tables_and_empty_table(spark, sf_dir):
     got = sorted(map(tuple, topk.op10_top_k(spark, sf_dir).collect()))
     assert got == brute(rows)
     assert run(spark, []) == []
+
+
+def test_queries_of_one_id_stay_apart(spark):
+    """Two rows with the id of a query whose floors are -1 and -2."""
+    rows = [(50, [-0.001, 0.5]), (50, [-0.006, 0.5])] + [(i, [i / 100, 0.1 * (i % 7)]) for i in range(11, 20)]
+    v = topk.whole_numbers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = topk.top_k(v, v.filter("vec_id % 50 = 0")).collect()
+    assert len(got) == 10 and sorted(r["rank"] for r in got) == sorted([1, 2, 3, 4, 5] * 2)
+    want = []
+    for q in ([-1, 128], [-2, 128]):
+        scored = sorted((-sum(a * int(b * 256 // 1) for a, b in zip(q, x, strict=True)), i) for i, x in rows if i != 50)
+        want += [(i, -s) for s, i in scored[:5]]
+    assert sorted((r.vec_id, r.score) for r in got) == sorted(want)
