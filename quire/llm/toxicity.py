@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -109,7 +111,10 @@ def features(text: str, a) -> tuple[float, float]:
     if not hits:
         return 0.0, 0.0
     if free:
-        hits = [h for h in hits if not any(s <= h[0] and h[1] <= e for s, e in free)]
+        # By start, with the farthest end so far: the phrase that reaches farthest over a hit decides.
+        free.sort()
+        starts, reach = [s for s, _ in free], list(accumulate((e for _, e in free), max))
+        hits = [h for h in hits if not ((k := bisect_right(starts, h[0])) and reach[k - 1] >= h[1])]
     # Of the patterns that match at one place the heaviest counts.
     best: dict[int, float] = {}
     for s, _, w in hits:

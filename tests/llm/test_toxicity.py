@@ -69,3 +69,14 @@ def test_sample_has_one_row_for_each_id(spark):
     got = toxicity.labelled(d, labels).collect()
     assert len(got) == len(ids) and sorted(map(tuple, got), key=repr) == sorted(map(tuple, toxicity.labelled(d.repartition(3, "text"), labels).collect()), key=repr)
     assert len(toxicity.labelled(d, labels, 5).collect()) == 5
+
+
+def test_exceptions_take_linear_time():
+    import time
+    lexicon = toxicity.Lexicon({"trash": 2.0, "can": 1.0}, ("trash can", "trash can lid"))
+    a = toxicity.automaton(lexicon)
+    assert toxicity.features("trash can trash", a) == toxicity.features("x x trash", a)
+    assert toxicity.features("trash can lid", a) == (0.0, 0.0)
+    start = time.time()
+    assert toxicity.features("trash can " * 100_000, a) == (0.0, 0.0)
+    assert time.time() - start < 20
