@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .work import stored
+from .work import free_name, stored
 
 #: Words; weights by rank of the source; most passes over a source.
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -29,37 +29,36 @@ WEIGHTS = (1, 2, 3)
 MOST = 3
 #: Documents of a range, about.
 ROWS = 4096
-#: Documents that one place (a doc_id's hash) holds at most; those of a doc_id with more are spread.
+#: Equal rows that are numbered in one task at most.
 REPEATS = ROWS // 16
 
 
-def free_name(docs: DataFrame, name: str) -> str:
-    """A column name that ``docs`` doesn't have."""
-    there = {c.lower() for c in docs.columns}
-    while name in there:
-        name += "_"
-    return name
-
-
 def sizes(docs: DataFrame, seed: int = 7, uid: str | None = None) -> DataFrame:
-    """uid, doc_id, source, size, place (63 bits of a hash), salt (the text's hash): one row for each document.
+    """uid, doc_id, source, size, place (the hash of doc_id, text and source): one row for each document.
     ``uid``: the column that has the documents' numbers (None: they are numbered here)."""
     return docs.select(
         (F.col(uid) if uid else F.monotonically_increasing_id()).alias("uid"), "doc_id", "source",
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long").alias("size"),
-        F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 1).alias("place"), F.xxhash64("text").alias("salt"))
+        F.xxhash64("doc_id", F.lit(seed), "text", "source").alias("place"))
 
 
 def spread(sized: DataFrame) -> DataFrame:
-    """The documents with a place of their own where more than ``REPEATS``
-    have one: a doc_id, or its lack, that comes often does not fill a range.
-    Counted before the shuffle; there is one such place for each ``REPEATS``
-    documents at most, and the others' places stay."""
+    """The documents with a place each: a hash (63 bits) of their doc_id, text
+    and source, and of their number among equal rows.  Equal rows stand for
+    each other, so the places do not depend on how the rows are dealt into
+    files.  Rows that come more than ``REPEATS`` times are numbered in two
+    steps, within the partition that read them and then over the partitions,
+    so that no task sees all of them."""
     often = stored(sized.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > REPEATS)
                    .select("place", F.lit(True).alias("often")), "often")
-    own = F.shiftrightunsigned(F.xxhash64("place", "salt", "uid"), 1)
-    return (sized.join(often, "place", "left")
-            .withColumn("place", F.when(F.col("often"), own).otherwise(F.col("place"))).drop("often", "salt"))
+    # The upper bits of a row's number are those of its partition.
+    there = sized.join(often, "place", "left").withColumn("part", F.when(F.col("often"), F.shiftrightunsigned("uid", 33)).otherwise(F.lit(-1)))
+    parts = there.filter("often").groupBy("place", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("place").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("place", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("place", "part").orderBy("uid")) + F.coalesce("before", F.lit(0))
+    return (there.join(parts, ["place", "part"], "left").withColumn("nth", nth)
+            .withColumn("place", F.shiftrightunsigned(F.xxhash64("place", "nth"), 1)).drop("often", "part", "before", "nth"))
 
 
 def targets(sized: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, share: float = 1.0) -> DataFrame:

@@ -43,3 +43,11 @@ def mapped(df: DataFrame, function, schema) -> DataFrame:
     if limit not in conf.getAll:
         conf.set(limit, str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have."""
+    there = {c.lower() for c in docs.columns}
+    while name in there:
+        name += "_"
+    return name
