@@ -10,10 +10,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text handled at a time (one longer text is handled alone).
 CHUNK_BYTES = 1 << 19
 
+#: Values of a segment that is hashed as a polynomial at most.
+LONG = 256
+
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -50,11 +54,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def segment_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """One hash for each segment [start, end) of a sequence of 64-bit values,
-    the same wherever the segment lies."""
+    the same wherever the segment lies.  Up to LONG values it is a polynomial
+    modulo 2^64; some longer segments of two values (the Thue-Morse word and
+    its complement, from 1,024 on) have the same one for every odd base, so
+    longer ones are hashed by their bytes."""
     up, down = powers(len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[:len(values)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    out = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    for i in np.flatnonzero(end - start > LONG):
+        out[i] = xxhash.xxh3_64_intdigest(np.ascontiguousarray(values[start[i]:end[i]]))
+    return out
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

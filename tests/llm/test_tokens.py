@@ -99,3 +99,23 @@ def test_dictionary_helps_and_is_checked(spark, tmp_path):
     packed = [zstandard.ZstdCompressor(level=3, dict_data=tokenfile.codec(d)).compress(s) for s in samples]
     assert sum(map(len, packed)) < 0.7 * sum(len(zstandard.compress(s, 3)) for s in samples)
     assert tokenfile.trained([]) == b"" and tokenfile.codec(b"") is None
+
+
+def test_long_words_with_one_polynomial_hash():
+    """The Thue-Morse word and its complement."""
+    import numpy as np
+    from quire.llm import words
+    import pyarrow as pa
+    for n in (512, 1024, 4096):
+        a = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        b = a.translate({97: "b", 98: "a"})
+        texts = [a, b, f"{b} x {a}", " ".join(a), " ".join(b)]
+        h, first = words.word_hashes(pa.array(texts))
+        assert h[0] == h[4] and h[1] == h[2] and h[0] != h[1]
+        nodes = words.segment_hashes(h, first[:-1], first[1:])
+        assert len({int(x) for x in nodes}) == 5
+        with open(PATH, "rb") as f:
+            ids, at = pretokens.Encoder(f.read(), ".json").encode(pa.array(texts))
+        lib = Tokenizer.from_file(PATH)
+        assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:], strict=True)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert np.unique(words.segment_hashes(np.arange(5000, dtype=np.uint64), np.arange(600), np.arange(600) + 300)).size == 600
