@@ -22,10 +22,10 @@ from .words import chunks, mix, segment_hashes, utf8
 
 #: The normaliser and pre-tokeniser that the array form reproduces.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Slots of each of the two tables of known pre-tokens (48 MB in all), and
-#: entries after which they start anew.
-SLOT_BITS = 21
-MOST_ENTRIES = 1 << 21
+#: Slots of each of the two tables of known pre-tokens (3 MB in all), and
+#: entries after which they start anew (some 3 MB with their ids).
+SLOT_BITS = 17
+MOST_ENTRIES = 1 << 17
 SPACE, LETTER, NUMBER, OTHER, HARD = range(5)
 
 
