@@ -12,7 +12,8 @@ Generation stops as soon as no later point can come first.
 Documents of equal words are one node.  Nodes that share a band's bucket are
 candidates; within a bucket all are compared with a leader (the node that
 shares most buckets), so a large group costs links in proportion to its size.
-A bucket that then holds several components is split by the shingles that its
+A bucket that then holds several components, if its nodes are FEW, has them
+compared across components; a larger one is split by the shingles that its
 nodes have beyond the leader's, which loses no pair (see ``_split``), and the
 smaller buckets are treated alike; what is open at the end is compared across
 components, so no pair that shares a bucket stays open.
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .work import mapped, stored
+from .work import free_name, mapped, stored
 
 #: Words of a shingle, least similarity, bands and components of a band: at a
 #: similarity of 0.8 a pair shares no bucket once in 30,000 times.
@@ -45,6 +46,8 @@ BANDS = 26
 ROWS = 5
 #: Rows of ids that are broadcast at most.
 MOST_IDS = 1_000_000
+#: Nodes of an open bucket that are compared with each other directly.
+FEW = 8
 #: Rounds with leaders before all open pairs are compared.
 LEADER_ROUNDS = 3
 
@@ -277,8 +280,12 @@ def links(rows: DataFrame, sets: DataFrame, least: float = SIMILARITY, rounds: i
         now = stored(now.join(open_, "bucket").join(leader.filter("k > 2").select("bucket", "v", "m"), "bucket"), "open")
         if now.isEmpty():
             break
-        rows, rest = _split(now, sets, least)
-        rows, rest = stored(rows, "rows"), stored(rest, "rest")
+        now = stored(now.join(now.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket"), "sized")
+        rows, rest = _split(now.filter(F.col("size") > FEW).drop("size"), sets, least)
+        few = now.filter((F.col("size") <= FEW) & (F.col("node") != F.col("v")))
+        p, q = (few.select("bucket", F.col("node").alias(x), F.col("n").alias(f"{x}n"), F.col("component").alias(f"{x}k")) for x in "pq")
+        direct = p.join(q, "bucket").filter((F.col("p") < F.col("q")) & (F.col("pk") != F.col("qk")) & _fit("pn", "qn", least)).select(F.col("p").alias("u"), F.col("q").alias("v"))
+        rows, rest = stored(rows, "rows"), stored(rest.unionByName(direct.distinct()), "rest")
     return found
 
 
@@ -313,17 +320,19 @@ def representatives(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The documents (all columns) that stay: of each class the one with the least doc_id."""
     found = stored(classes(docs, least), "classes")
     first = F.col("class_id").eqNullSafe(F.col("doc_id")) & (F.col("class_hash") == F.col("text_hash"))
-    key = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    # Names that no column of the documents has.
+    id_, hash_, own = (free_name(docs, x) for x in ("__id", "__hash", "__text_hash"))
+    key = [F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)]
     lost = stored(found.filter(~first).select(*key).distinct(), "lost")
-    again = found.filter(first & (F.col("class_size") > 1)).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__id", "__hash")
-    d = docs.withColumn("__text_hash", F.xxhash64(F.col("text").cast("string")))
-    same = lambda x: d.doc_id.cast("long").eqNullSafe(x["__id"]) & (d["__text_hash"] == x["__hash"])
-    kept = d.join(_small(lost), same(lost), "left_anti")
+    again = found.filter(first & (F.col("class_size") > 1)).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(id_, hash_)
+    d = docs.withColumn(own, F.xxhash64(F.col("text").cast("string")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_))
+    kept = d.join(_small(lost), same, "left_anti")
     if not again.isEmpty():
         # The document that stays is there in several equal rows: one of them does.
         again = stored(again, "again")
-        kept = kept.join(again, same(again), "left_anti").unionByName(d.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "__text_hash"]))
-    return kept.drop("__text_hash")
+        kept = kept.join(again, same, "left_anti").unionByName(d.join(again, same, "left_semi").dropDuplicates(["doc_id", own]))
+    return kept.drop(own)
 
 
 def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -76,3 +76,14 @@ def test_edges(spark, sf_dir):
         if k < 4:
             assert stage(spark, docs.limit(0), sf_dir).columns == docs.columns
         assert stage(spark, docs.limit(0), sf_dir).collect() == []
+
+
+def test_clashing_columns_keep_their_values(spark, sf_dir):
+    names = ["__toxicity", "__hash", "__text_hash", "__id", "__uid", "__at", "uid", "node", "bucket", "text_hash"]
+    docs = spark.createDataFrame([(i, f"some plain words of document {i} and no other " * 3, "s", *[f"{i}-{n}" for n in names]) for i in range(6)],
+                                 "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert len(got) >= 4 and all(r[n] == f"{r.doc_id}-{n}" for r in got for n in names)
