@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import decontam, mixing, neardup, tokenfile, toxicity
-from quire.llm.work import new_path
+from quire.llm.work import free_name, new_path
 
 #: Score from which a document is toxic.
 TOXIC = 0.5
@@ -27,8 +27,9 @@ def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.learn(docs, labels), "__toxicity")
-    return _columns(scored.filter(F.col("__toxicity") < TOXIC), docs)
+    score = free_name(docs, "__toxicity")
+    scored = toxicity.score(docs, toxicity.learn(docs, labels), score)
+    return _columns(scored.filter(F.col(score) < TOXIC), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +40,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """A text's hash takes the place of the doc_id: equal texts share their fate."""
     text_hash = F.xxhash64(F.col("text").cast("string"))
     found = decontam.contamination(docs.select(text_hash.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = found.filter("n_hit > 0").select(F.col("doc_id").alias("__hash")).distinct()
-    return _columns(docs.withColumn("__hash", text_hash).join(hit, "__hash", "left_anti"), docs)
+    own = free_name(docs, "__hash")
+    hit = found.filter("n_hit > 0").select(F.col("doc_id").alias(own)).distinct()
+    return _columns(docs.withColumn(own, text_hash).join(hit, own, "left_anti"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
