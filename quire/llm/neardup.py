@@ -229,16 +229,15 @@ def _split(buckets: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame
     d - t + 1 of their d: a node is put into those buckets only."""
     c = least / (1 + least)
     a, b = sets.select("node", F.col("s").alias("su")), sets.select(F.col("node").alias("v"), F.col("s").alias("sv"))
-    apart = stored(buckets.filter("node != v").select("node", "v").distinct().join(a, "node").join(b, "v").select(
-        "node", "v", F.size("su").alias("n"), F.size(F.array_intersect("su", "sv")).alias("i"), F.array_except("su", "sv").alias("d")), "apart")
-    facts = buckets.select("node", "n", "degree", "component").distinct()
+    apart = stored(buckets.filter("node != v").select("node", "v", "degree", "component").distinct().join(a, "node").join(b, "v").select(
+        "node", "v", "degree", "component", F.size("su").alias("n"), F.size(F.array_intersect("su", "sv")).alias("i"), F.array_except("su", "sv").alias("d")), "apart")
     smallest = buckets.groupBy("v").agg(F.min("n").alias("smallest"))
     shared = F.lit(c) * (F.col("n") + F.greatest(F.lit(least) * F.col("n"), F.col("smallest")))
     t = F.greatest(F.lit(1), F.ceil(shared - F.col("i") - F.lit(1e-9)).cast("int"))
     prefix = F.slice(F.array_sort("d"), F.lit(1), F.greatest(F.lit(0), F.size("d") - t + 1))
-    finer = stored(apart.join(smallest, "v").select("node", F.explode(F.transform(prefix, lambda s: F.xxhash64("v", s))).alias("bucket")), "finer")
+    finer = stored(apart.join(smallest, "v").select("node", "n", "degree", "component", F.explode(F.transform(prefix, lambda s: F.xxhash64("v", s))).alias("bucket")), "finer")
     several = finer.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
-    rows = finer.join(several, "bucket").join(facts, "node")
+    rows = finer.join(several, "bucket")
     mixed = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("bucket")
     rows = rows.join(mixed, "bucket").select("bucket", "node", "n", "degree", "component")
     cap = F.floor(F.col("i") / F.lit(c) + F.lit(1e-9)) - F.col("n")
