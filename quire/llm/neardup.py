@@ -13,10 +13,12 @@ Documents of equal words are one node.  Nodes that share a band's bucket are
 candidates; within a bucket all are compared with a leader (the node that
 shares most buckets), so a large group costs links in proportion to its size.
 A bucket that then holds several components, if its nodes are FEW, has them
-compared across components; a larger one is split by the shingles that its
-nodes have beyond the leader's, which loses no pair (see ``_split``), and the
-smaller buckets are treated alike; what is open at the end is compared across
-components, so no pair that shares a bucket stays open.
+compared across components.  The nodes of larger ones are put, once for each
+node, into buckets of their rarest shingles, which loses no pair (see
+``_rarest``).  Of these, buckets that are large and open again are split by
+the shingles that their nodes have beyond the leader's (see ``_split``), and
+the smaller buckets are treated alike; what is open at the end is compared
+across components, so no pair that shares a bucket stays open.
 Similarity is verified exactly: shingles are numbered by occurrence, so the
 multisets are sets.  Components come from alternating star contraction.
 
@@ -47,7 +49,11 @@ ROWS = 5
 #: Rows of ids that are broadcast at most.
 MOST_IDS = 1_000_000
 #: Nodes of an open bucket that are compared with each other directly.
-FEW = 8
+FEW = 16
+#: Slots in which common shingles are counted (a table of 2 MB for each worker), and the
+#: share of a task's nodes that makes a shingle common there.
+SLOTS = 1 << 18
+COMMON = 1 / 256
 #: Rounds with leaders before all open pairs are compared.
 LEADER_ROUNDS = 3
 
@@ -212,6 +218,58 @@ def _fit(n: str, m: str, least: float) -> F.Column:
     return F.least(n, m) >= F.lit(least) * F.greatest(n, m)
 
 
+def _commonness(sets: DataFrame) -> np.ndarray:
+    """For each slot about how many nodes hold its shingles.  It only puts
+    shingles in an order, so counts that tasks leave out cost time, not links."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, nodes = np.zeros(SLOTS, np.int64), 0
+        for b in batches:
+            n += np.bincount(b.column("s").flatten().to_numpy().view(np.uint64) & np.uint64(SLOTS - 1), minlength=SLOTS)
+            nodes += b.num_rows
+        at = np.flatnonzero(n >= max(2, COMMON * nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], ["slot", "c"])
+    out = np.zeros(SLOTS, np.int64)
+    for r in mapped(sets.select("s"), count, "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c")).toLocalIterator():
+        out[r.slot] = r.c
+    return out
+
+
+def _rarest(buckets: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Rows (bucket, node, n, degree, component) that hold every link still to be
+    found among the nodes of open buckets (the same columns, v and m).
+
+    Multisets of n and m shingles that are similar share c * (n + m) or more of
+    them.  In one order of all shingles, the first that they share is then among
+    the first n - c * (n + m) + 1 of each; m is no less than least * n and the
+    least size met in a bucket.  The order is from rare to common, so a passage
+    that many documents hold makes no bucket unless they hold little else."""
+    c = least / (1 + least)
+    smallest = buckets.groupBy("bucket").agg(F.min("n").alias("smallest"))
+    nodes = buckets.join(smallest, "bucket").groupBy("node").agg(
+        F.first("n").alias("n"), F.first("degree").alias("degree"), F.first("component").alias("component"), F.min("smallest").alias("smallest"))
+    taken = F.col("n") - F.ceil(F.lit(c) * (F.col("n") + F.greatest(F.lit(least) * F.col("n"), F.col("smallest"))) - F.lit(1e-9)) + 1
+    nodes = stored(nodes.select("node", "n", "degree", "component", F.greatest(F.lit(1), taken).cast("int").alias("taken")).join(sets, "node"), "wide")
+    common = buckets.sparkSession.sparkContext.broadcast(_commonness(nodes))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s, first = b.column("s").flatten().to_numpy(), np.r_[0, np.cumsum(b.column("s").value_lengths().to_numpy())]
+            row = np.repeat(np.arange(b.num_rows), np.diff(first))
+            order = np.lexsort((s, common.value[s.view(np.uint64) & np.uint64(SLOTS - 1)], row))
+            keep = np.arange(len(s)) - first[row] < b.column("taken").to_numpy()[row]
+            of = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays([pa.array(s[order][keep])] + [b.column(x).take(of) for x in ("node", "n", "degree", "component")],
+                                             ["bucket", "node", "n", "degree", "component"])
+    rare = stored(mapped(nodes, put, "bucket long, node long, n long, degree long, component long"), "rarest")
+    return _mixed(rare)
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components."""
+    mixed = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("bucket")
+    return rows.join(mixed, "bucket").select("bucket", "node", "n", "degree", "component")
+
+
 def _split(buckets: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """(rows, pairs) that hold every link still to be found in open buckets
     (bucket, node, n, degree, component, v, m: the leader and its size).
@@ -236,10 +294,7 @@ def _split(buckets: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame
     t = F.greatest(F.lit(1), F.ceil(shared - F.col("i") - F.lit(1e-9)).cast("int"))
     prefix = F.slice(F.array_sort("d"), F.lit(1), F.greatest(F.lit(0), F.size("d") - t + 1))
     finer = stored(apart.join(smallest, "v").select("node", "n", "degree", "component", F.explode(F.transform(prefix, lambda s: F.xxhash64("v", s))).alias("bucket")), "finer")
-    several = finer.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
-    rows = finer.join(several, "bucket")
-    mixed = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("bucket")
-    rows = rows.join(mixed, "bucket").select("bucket", "node", "n", "degree", "component")
+    rows = _mixed(finer)
     cap = F.floor(F.col("i") / F.lit(c) + F.lit(1e-9)) - F.col("n")
     sized = buckets.join(apart.select("node", "v", "i"), ["node", "v"]).select(
         "bucket", "node", "n", "component", cap.alias("cap"), (F.col("i") < F.lit(c) * (F.col("n") + F.col("m"))).alias("away"))
@@ -280,11 +335,12 @@ def links(rows: DataFrame, sets: DataFrame, least: float = SIMILARITY, rounds: i
         if now.isEmpty():
             break
         now = stored(now.join(now.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket"), "sized")
-        rows, rest = _split(now.filter(F.col("size") > FEW).drop("size"), sets, least)
+        large = now.filter(F.col("size") > FEW).drop("size")
+        rows, rest = (_rarest(large, sets, least), None) if k == 0 else _split(large, sets, least)
         few = now.filter((F.col("size") <= FEW) & (F.col("node") != F.col("v")))
         p, q = (few.select("bucket", F.col("node").alias(x), F.col("n").alias(f"{x}n"), F.col("component").alias(f"{x}k")) for x in "pq")
         direct = p.join(q, "bucket").filter((F.col("p") < F.col("q")) & (F.col("pk") != F.col("qk")) & _fit("pn", "qn", least)).select(F.col("p").alias("u"), F.col("q").alias("v"))
-        rows, rest = stored(rows, "rows"), stored(rest.unionByName(direct.distinct()), "rest")
+        rows, rest = stored(rows, "rows"), stored(direct.distinct() if rest is None else rest.unionByName(direct.distinct()), "rest")
     return found
 
 
