@@ -74,6 +74,31 @@ def test_planted_families_match_all_pairs(spark):
     assert found(spark, docs) == brute(docs)
 
 
+def test_large_open_buckets_match_all_pairs(spark, monkeypatch):
+    """A passage that makes up most of 150 documents, half of which are near copies of
+    one or two others: large buckets of many components, split by rarest shingles."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(120)]
+    docs = []
+    for i in range(90):
+        own = [f"o{rng.randrange(10 ** 6)}" for _ in range(rng.randrange(25, 45))]
+        docs.append((10 * i, " ".join(passage + own)))
+        for j in range(i % 3):
+            w = passage + own
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+            docs.append((10 * i + j + 1, " ".join(w[rng.randrange(3):])))
+    docs += [(2000 + i, " ".join(passage[:100 + i])) for i in range(20)]
+    rows, real = [], neardup._rarest
+
+    def rarest(buckets, *rest):
+        rows.append(buckets.count())
+        return real(buckets, *rest)
+    monkeypatch.setattr(neardup, "_rarest", rarest)
+    want = brute(docs)
+    assert found(spark, docs) == want
+    assert rows and rows[0] > 100 and len({c for _, c, _ in want}) > 20
+
+
 def test_edges(spark):
     docs = [(1, None), (2, ""), (3, ""), (4, "?!"), (5, "?!"), (6, "..."), (None, "one two three four five six"), (9, "One two three, four five six."), (8, "é è ü"),
             (7, "é è ü"), (10, "the same " * 20_000), (11, "the same " * 20_000 + "end"), (12, "lone text"), (12, "lone text"), (12, "other words with the same id")]
