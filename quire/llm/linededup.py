@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .words import chunks
-from .work import mapped, stored
+from .work import mapped, new_path, stored
 
 #: Least code points of a key, least documents that hold it, white space.
 LEAST_LENGTH = 40
 LEAST_DOCS = 5
 SPACE = b" \t\n\x0b\x0c\r"
-#: Bits of a filter at most (16 MB), of a merged piece, and for each line that is expected.
+#: Bits of a filter at most (16 MB; 2.2 GB of text a hash range), of a merged piece, and for each line that is expected.
 MAX_BITS = 1 << 27
 PIECE_BITS = 1 << 17
 BITS_A_LINE = 6
@@ -71,19 +71,26 @@ def _put(bits: np.ndarray, probes: np.ndarray) -> None:
     np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
 
 
-def _batch_keys(batches, least: int):
+def _text_keys(batches: Iterator[pa.RecordBatch], least: int):
+    """(doc_id of each key, or None; keys) of the texts' lines."""
     for b in chunks(batches):
         docs = [_keys(t, least) for t in b.column("text").cast(pa.binary()).to_pylist()]
-        n = np.array([len(d) for d in docs], np.int64)
         keys = np.frombuffer(b"".join(k for d in docs for k in d), np.uint64).reshape(-1, 2)
-        yield b, n, keys
+        row = np.repeat(np.arange(len(docs)), np.array([len(d) for d in docs], np.int64))
+        yield b.column("doc_id").take(pa.array(row)) if "doc_id" in b.schema.names else None, keys
 
 
-def repeats_filter(docs: DataFrame, bits: int, least: int = LEAST_LENGTH) -> np.ndarray:
-    """The merged twice-seen filter, at most MAX_BITS."""
+def _written_keys(batches: Iterator[pa.RecordBatch], least: int):
+    """The same of a table of keys."""
+    for b in batches:
+        yield b.column("doc_id"), np.stack([b.column(c).to_numpy().view(np.uint64) for c in ("hi", "lo")], axis=1)
+
+
+def repeats_filter(lines: DataFrame, bits: int, least: int = LEAST_LENGTH, read=_text_keys) -> np.ndarray:
+    """The merged twice-seen filter of ``bits`` bits."""
     def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-        for _, _, keys in _batch_keys(batches, least):
+        for _, keys in read(batches, least):
             if len(keys):
                 keys, n = np.unique(keys, axis=0, return_counts=True)
                 at = _probes(keys, bits)
@@ -104,9 +111,9 @@ def repeats_filter(docs: DataFrame, bits: int, least: int = LEAST_LENGTH) -> np.
             once |= o
         return pd.DataFrame({"piece": pieces["piece"].iloc[:1], "twice": [twice.tobytes()]})
 
-    # Few tasks, so that there are few filters to merge.
-    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
-    partial = mapped(docs.select("text").coalesce(tasks), note, "piece int, once binary, twice binary")
+    # Few tasks, so that there are few filters to merge; a pair's lines are few enough for that.
+    tasks = 2 * lines.sparkSession.sparkContext.defaultParallelism
+    partial = mapped(lines.coalesce(tasks), note, "piece int, once binary, twice binary")
     out = np.zeros(bits // 8, np.uint8)
     for r in partial.groupBy("piece").applyInPandas(merge, "piece int, twice binary").toLocalIterator():
         at = r.piece * PIECE_BITS // 8
@@ -114,33 +121,56 @@ def repeats_filter(docs: DataFrame, bits: int, least: int = LEAST_LENGTH) -> np.
     return out
 
 
-def filter_bits(docs: DataFrame, most: int = MAX_BITS) -> int:
-    n = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def filter_size(docs: DataFrame, most: int = MAX_BITS) -> tuple[int, int]:
+    """Bits of a filter, a power of two of at most ``most`` (a piece at least), and the hash ranges that have one."""
+    need = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BYTES_A_LINE * BITS_A_LINE
     bits = PIECE_BITS
-    while bits < min(most, n // BYTES_A_LINE * BITS_A_LINE):
+    while bits < need and 2 * bits <= most:
         bits *= 2
-    return bits
+    return bits, max(1, -(-need // bits))
 
 
-def suspects(docs: DataFrame, bits: int, least: int = LEAST_LENGTH) -> DataFrame:
-    """(key, doc_id) of the lines that the twice-seen filter may hold."""
-    twice = docs.sparkSession.sparkContext.broadcast(repeats_filter(docs, bits, least))
+def _picked(lines: DataFrame, twice: np.ndarray, least: int, read) -> DataFrame:
+    """(key, doc_id) of the lines that ``twice`` may hold."""
+    bits = 8 * len(twice)
+    twice = lines.sparkSession.sparkContext.broadcast(twice)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, n, keys in _batch_keys(batches, least):
-            row = np.repeat(np.arange(len(n)), n)
+        for ids, keys in read(batches, least):
             may = _has(twice.value, _probes(keys, bits)) if len(keys) else np.zeros(0, bool)
             raw = keys[may].tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()), b.column("doc_id").take(pa.array(row[may]))], ["key", "doc_id"])
-    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), pick, "key binary, doc_id long")
+            yield pa.RecordBatch.from_arrays([pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()), ids.filter(pa.array(may))], ["key", "doc_id"])
+    return mapped(lines, pick, "key binary, doc_id long")
+
+
+def _key_table(docs: DataFrame, least: int) -> DataFrame:
+    """hi, lo (halves of a line's key) and doc_id, sorted by lo within each task."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, keys in _text_keys(batches, least):
+            keys = keys.view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), ids], ["hi", "lo", "doc_id"])
+    return stored(mapped(docs, write, "hi long, lo long, doc_id long").sortWithinPartitions("lo"), "line-keys")
+
+
+def suspects(docs: DataFrame, bits: int, ranges: int = 1, least: int = LEAST_LENGTH) -> DataFrame:
+    """(key, doc_id) of the lines that a twice-seen filter may hold."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if ranges == 1:
+        return _picked(docs, repeats_filter(docs.select("text"), bits, least), least, _text_keys)
+    keys = _key_table(docs, least)
+    path = new_path(docs.sparkSession, "suspects")
+    ends = [-(1 << 63) + (i << 64) // ranges for i in range(ranges + 1)]
+    for first, end in zip(ends, ends[1:], strict=False):
+        own = keys.filter(F.col("lo").between(first, end - 1))
+        _picked(own, repeats_filter(own, bits, least, _written_keys), least, _written_keys).write.mode("append").parquet(path)
+    return docs.sparkSession.read.schema("key binary, doc_id long").parquet(path)
 
 
 def dedup(docs: DataFrame, least_docs: int = LEAST_DOCS, least_length: int = LEAST_LENGTH, max_keys: int = MAX_KEYS, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, n_lines, n_dropped and the kept text of every document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    suspected = suspects(docs, filter_bits(docs, max_bits), least_length).distinct()
+    suspected = suspects(docs, *filter_size(docs, max_bits), least_length).distinct()
     confirmed = stored(suspected.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep"))
                        .filter(F.col("n") >= least_docs).select("key", "keep"), "repeated-lines")
     few = confirmed.count() <= max_keys

@@ -1,7 +1,7 @@
 """Line dedup against a brute-force version."""
 
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -52,10 +52,23 @@ def test_given_tables(spark, sf_dir):
 def test_filter_has_no_false_negatives_and_suspects_little(spark):
     rows = [(i, "\n".join(f"line {j} of document {i if j % 10 else 0}, as long as it has to be" for j in range(40))) for i in range(200)]
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
-    bits = linededup.filter_bits(d)
-    got = linededup.suspects(d, bits).groupBy("key").count().collect()
+    got = linededup.suspects(d, *linededup.filter_size(d)).groupBy("key").count().collect()
     assert sum(r["count"] == 200 for r in got) == 4 and len(got) < 4 + 0.2 * 200 * 36
 
 
+def test_small_filters_in_hash_ranges_suspect_as_little(spark):
+    """Text for nine times the filters' size: each range has its own pair, and the result is the same."""
+    rows = [(i, "\n".join([f"line {j} of document {i}, one of very many that differ, and made one hundred letters long with this" for j in range(95)] + [LINE] * (i < 7)))
+            for i in range(2000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    bits, ranges = linededup.filter_size(d, 1)
+    assert bits == linededup.PIECE_BITS and ranges >= 8
+    got = linededup.suspects(d, bits, ranges).collect()
+    assert sum(n >= 7 for n in Counter(r.key for r in got).values()) == 1
+    assert len(got) < 0.05 * 95 * 2000
+    out = [(r.doc_id, r.n_lines, r.n_dropped, hashlib.sha256(r.text.encode()).hexdigest()) for r in linededup.dedup(d, max_bits=1).collect()]
+    assert sorted(out) == sorted(brute(rows))
+
+
 def test_empty_table(spark):
     assert linededup.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
