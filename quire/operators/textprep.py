@@ -126,18 +126,19 @@ def main_text_udf(html: pd.Series) -> pd.DataFrame:
 def page_main_text(pages: DataFrame, html_col: str = "html",
                    key_cols=("page_id", "url"), native: bool = False) -> DataFrame:
     """T1 + T2: extracted and cleaned main text per page, and the element it
-    comes from.  ``native`` keeps pages of plain HTML in the JVM (``maintext``)
-    and gives only the others to the parser: no Python worker sees them, at
-    more CPU time and a second scan."""
+    comes from.  ``native`` takes pages of plain HTML in the JVM (``maintext``)
+    and gives only the others to the parser, at more CPU time."""
     keys = [c for c in key_cols if c in pages.columns]
     html = F.col(html_col)
-    parsed = lambda some: some.select(*keys, main_text_udf(html).alias("main"))
     if native:
-        hard = maintext.needs_parser(html, CONTENT_SELECTORS)
-        plain = maintext.main_text(html, CONTENT_SELECTORS, MIN_SELECTOR_CHARS)
-        raw = pages.filter(~hard).select(*keys, plain.alias("main")).union(parsed(pages.filter(hard)))
+        # Tested once for each page; a plain page reaches the worker as a null.
+        hard = F.col("hard")
+        tested = pages.select(*keys, html.alias("html"), maintext.needs_parser(html, CONTENT_SELECTORS).alias("hard"))
+        main = maintext.main_text(F.col("html"), CONTENT_SELECTORS, MIN_SELECTOR_CHARS)
+        raw = tested.select(*keys, hard, F.when(~hard, main).alias("plain"), main_text_udf(F.when(hard, F.col("html"))).alias("parsed")) \
+                    .select(*keys, F.when(hard, F.col("parsed")).otherwise(F.col("plain")).alias("main"))
     else:
-        raw = parsed(pages)
+        raw = pages.select(*keys, main_text_udf(html).alias("main"))
     return raw.select(*keys, clean_text(F.col("main.raw_content")).alias("content"),
                       F.col("main.content_source").alias("content_source"))
 
